@@ -28,14 +28,14 @@ def boosted_trees(**params) -> GBTClassifier:
     return GBTClassifier(**{"maxIter": 20, "maxDepth": 5, "seed": 42, **params})
 
 
-def in_key_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+def in_key_order(df: DataFrame, key: str, rows: int, rows_per_partition: int = 50_000) -> DataFrame:
     """Place rows by key, sorted within partitions.
 
-    Trees bin and sample by partition; with the placement fixed, a model no longer depends on how
-    its input happened to be partitioned. ``partitions`` defaults to the shuffle partitions.
+    Trees bin and sample by partition. Here the placement depends on the keys and on the number
+    of rows alone, so a model depends neither on how its input happened to be partitioned nor on
+    the size of the cluster.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key).sortWithinPartitions(key)
+    return df.repartition(-(-rows // rows_per_partition) or 1, key).sortWithinPartitions(key)
 
 
 def auc_evaluator() -> BinaryClassificationEvaluator:
@@ -61,13 +61,14 @@ def cross_validate(
     estimator: Estimator,
     grid: list[dict] | None = None,
     evaluator=None,
-    parallelism: int = 4,
+    parallelism: int = 6,
 ) -> CrossValidated:
     """k-fold cross-validation over the ``fold`` column, then a refit on all rows (H5-H7).
 
-    Folds are filters on a hashed column, which stays in the JVM; the Spark jobs of up to
-    ``parallelism`` (candidate, fold) pairs are submitted at the same time. ``train`` should be
-    persisted. An empty grid is plain cross-validation.
+    Folds are filters on a hashed column, which stays in the JVM. Tree training is a long chain
+    of short jobs, so up to ``parallelism`` fits submit theirs at the same time; without a choice
+    between candidates the refit is one of them. ``train`` should be persisted. An empty grid is
+    plain cross-validation.
     """
     evaluator = evaluator or auc_evaluator()
     grid = grid or [{}]
@@ -78,16 +79,29 @@ def cross_validate(
         model = estimator.fit(train.where(F.col("fold") != fold), grid[candidate])
         return evaluator.evaluate(model.transform(train.where(F.col("fold") == fold)))
 
+    with_session = inheritable_thread_target(train.sparkSession)
     tasks = [(c, f) for c in range(len(grid)) for f in folds]
-    pool = ThreadPool(min(parallelism, len(tasks)))
-    try:
-        results = pool.map(inheritable_thread_target(train.sparkSession)(score), tasks)
-    finally:
-        pool.close()
-    k = len(folds)
-    scores = [sum(results[c * k : (c + 1) * k]) / k for c in range(len(grid))]
-    best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=scores.__getitem__)
-    return CrossValidated(estimator.fit(train, grid[best]), scores, best)
+    with ThreadPool(min(parallelism, len(tasks) + 1)) as pool:
+        refit = lambda best: pool.apply_async(with_session(estimator.fit), (train, grid[best]))
+        early = refit(0) if len(grid) == 1 else None
+        results = pool.map(with_session(score), tasks, chunksize=1)
+        scores = [sum(results[i : i + len(folds)]) / len(folds) for i in range(0, len(tasks), len(folds))]
+        best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=scores.__getitem__)
+        model = (early or refit(best)).get()
+    return CrossValidated(model, scores, best)
+
+
+def cross_validate_all(
+    train: DataFrame, estimators: dict[str, Estimator], parallelism: int = 6
+) -> dict[str, CrossValidated]:
+    """Cross-validate several models side by side on the same rows."""
+
+    def one(estimator: Estimator) -> CrossValidated:
+        return cross_validate(train, estimator, parallelism=parallelism)
+
+    with ThreadPool(len(estimators)) as pool:
+        results = pool.map(inheritable_thread_target(train.sparkSession)(one), estimators.values())
+    return dict(zip(estimators, results))
 
 
 def score_rows(model: Model, rows: DataFrame, name: str) -> DataFrame:

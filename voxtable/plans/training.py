@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from voxtable.functions.scalars import numeric_columns
 from voxtable.operators import evaluate, models, prepare
 from voxtable.schemas import CLASS_NAMES
-from voxtable.sources.tables import cached, write_csv
+from voxtable.sources.tables import cached, materialize, write_csv
 
 RANDOM_FOREST, BOOSTED_TREES = "Random Forest", "GBT"
 
@@ -21,9 +21,15 @@ RANDOM_FOREST, BOOSTED_TREES = "Random Forest", "GBT"
 def training_frame(
     df: DataFrame, key: str, features: list[str], label: Column, seed: int = 42
 ) -> DataFrame:
-    """Assembled rows with split and fold, placed by key so that models are reproducible."""
-    assembled = prepare.assemble(df, features, label, carry=(key,))
-    return models.in_key_order(prepare.hash_split(assembled, key, seed=seed), key)
+    """Assembled rows with split and fold, placed by key so that models are reproducible.
+
+    The needed columns are written once: training passes over them many times, and neither a
+    lost executor nor the filters on missing features should compute them again.
+    """
+    stored = materialize(df.select(key, *features, label.alias("label")))
+    assembled = prepare.assemble(stored, features, F.col("label"), carry=(key,))
+    split = prepare.hash_split(assembled, key, seed=seed)
+    return models.in_key_order(split, key, stored.count())
 
 
 @contextmanager
@@ -34,7 +40,7 @@ def train_and_compare(
     features: list[str] | None = None,
     estimators: dict[str, Estimator] | None = None,
     names: tuple[str, ...] = CLASS_NAMES,
-    parallelism: int = 4,
+    parallelism: int = 6,
 ) -> Iterator[dict[str, DataFrame]]:
     """Result tables by name.
 
@@ -50,10 +56,7 @@ def train_and_compare(
     with cached(training_frame(clean, key, features, F.col(label))) as frame:
         train = frame.where(F.col("split") == "train")
         test = frame.where(F.col("split") == "test")
-        fitted = {
-            name: models.cross_validate(train, estimator, parallelism=parallelism)
-            for name, estimator in estimators.items()
-        }
+        fitted = models.cross_validate_all(train, estimators, parallelism)
         predictions = [models.score_rows(r.model, test, name) for name, r in fitted.items()]
         columns = [key, "model", "label", "prediction", "score", "probability"]
         with cached(reduce(DataFrame.unionByName, [p.select(columns) for p in predictions])) as scored:

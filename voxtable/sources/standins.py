@@ -111,9 +111,7 @@ def training(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_count(text, F.lit(r"\S+")).cast("double").alias("n_words"),
         F.size(lines).cast("double").alias("n_lines"),
         F.size(F.array_distinct(lines)).cast("double").alias("n_unique_lines"),
-        (F.length(text) - F.length(F.translate(text, "0123456789", "")))
-        .cast("double")
-        .alias("n_digits"),
+        F.regexp_count(text, F.lit("[0-9]")).cast("double").alias("n_digits"),
     )
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label")
