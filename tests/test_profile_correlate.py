@@ -39,6 +39,15 @@ def test_describe(mixed):
     assert rows["k"][1:] == (6, 5.0, 0.0, 5.0, 5.0)
 
 
+def test_empty_tables_keep_their_columns(mixed):
+    empty = mixed.where("id < 0")
+    assert {r.column: r["count"] for r in profile.describe_numeric(empty, ["x", "k"]).collect()} == {"x": 0, "k": 0}
+    assert {r.missing for r in profile.missing_counts(empty).collect()} == {0}
+    label = encode_label(F.col("grp"), "b")
+    assert [r["corr"] for r in correlate.feature_label_corr(empty, ["x", "y"], label).collect()] == [None, None]
+    assert cells(correlate.pearson_matrix(empty, ["x", "y"]))["x", "y"] is None
+
+
 def test_group_profiles_keep_the_missing_group(mixed):
     frequency = profile.group_frequency(mixed, "grp").collect()
     assert [(r.grp, r["count"], r.percent) for r in frequency] == [("b", 3, 50.0), ("a", 2, 33.3), (None, 1, 16.7)]

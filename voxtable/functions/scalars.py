@@ -87,6 +87,32 @@ def hash_bucket(key: Column, buckets: int, seed: int, part: int = 0) -> Column:
     )
 
 
+def by_column(
+    df: DataFrame,
+    values: dict[str, Column],
+    aggregates: list[Column],
+    keep: tuple[str, ...] = (),
+    y: Column | None = None,
+) -> DataFrame:
+    """The same aggregates of ``x`` for every named value: ``(*keep, column, *aggregates)``.
+
+    The values of a row become one array that is exploded and grouped by position. That keeps the
+    generated code the same size for any number of columns, where a wide aggregate over forty
+    columns outgrows the JIT, and partial aggregation leaves one row per column and task. All
+    values must have one type. Ungrouped, every column has its row even for an empty table. The
+    aggregates may also use ``y``, a double that is the same for all values of a row.
+    """
+    y = (F.lit(None) if y is None else y).cast("double").alias("y")
+    long = df.select(*keep, y, F.posexplode(F.array(*values.values())).alias("position", "x"))
+    grouped = long.groupBy(*keep, "position").agg(*aggregates)
+    stats = [c for c in grouped.columns if c not in (*keep, "position")]
+    names = F.array(*[F.lit(n) for n in values])
+    if keep:
+        return grouped.select(*keep, F.get(names, F.col("position")).alias("column"), *stats)
+    columns = df.sparkSession.range(1).select(F.posexplode(names).alias("position", "column"))
+    return columns.join(grouped, "position", "left").select("column", *stats)
+
+
 def long_rows(rows: list[tuple[Column, ...]], names: list[str]) -> Column:
     """Explode a fixed list of column tuples into rows: ``df.select(long_rows(...))``."""
     return F.inline(

@@ -7,23 +7,26 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxtable.functions.scalars import all_present, is_missing, long_rows
+from voxtable.functions.scalars import all_present, by_column, is_missing
+from voxtable.sources.tables import cached
 
-# Up to here the pairwise aggregates fit into one generated loop; wider matrices go to MLlib.
-MAX_PAIRWISE_COLUMNS = 8
+# Up to here rows of pairs beat vectors; the number of pairs grows with the square.
+MAX_PAIRWISE_COLUMNS = 6
 
 
-def _pearson(x: Column, y: Column) -> Column:
-    """Correlation of two columns, NULL for a constant one. Both must be present or NULL at once.
+def _pearson() -> Column:
+    """Correlation of ``x`` and ``y`` over the rows with both; NULL for a constant one.
 
     ``corr`` raises a division by zero for a constant column under ANSI, hence the parts.
     """
-    zero = F.lit(0.0)
-    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x), zero) / F.nullif(F.stddev_pop(y), zero)
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y, zero = F.when(both, F.col("x")), F.when(both, F.col("y")), F.lit(0.0)
+    deviations = F.nullif(F.stddev_pop(x), zero) * F.nullif(F.stddev_pop(y), zero)
+    return (F.covar_pop(x, y) / deviations).alias("corr")
 
 
-def _doubles(df: DataFrame, columns: list[str]) -> dict[str, Column]:
-    return {c: F.when(~is_missing(df, c), F.col(c).cast("double")) for c in columns}
+def _present(df: DataFrame, column: str) -> Column:
+    return F.when(~is_missing(df, column), F.col(column).cast("double"))
 
 
 def pearson_matrix(
@@ -38,36 +41,45 @@ def pearson_matrix(
         raise ValueError(f"method must be 'listwise' or 'pairwise', not {method!r}")
     if method == "listwise":
         df = df.where(all_present(df, columns))
-        if len(columns) > MAX_PAIRWISE_COLUMNS:
-            return _shown(_matrix_by_vectors(df, columns), digits)
-    return _shown(_matrix_by_aggregates(df, columns), digits)
-
-
-def _shown(cells: DataFrame, digits: int | None) -> DataFrame:
+    by_vectors = method == "listwise" and len(columns) > MAX_PAIRWISE_COLUMNS
+    cells = _matrix_by_vectors(df, columns) if by_vectors else _matrix_by_pairs(df, columns)
     return cells if digits is None else cells.withColumn("corr", F.round("corr", digits))
 
 
-def _matrix_by_aggregates(df: DataFrame, columns: list[str]) -> DataFrame:
-    value = _doubles(df, columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.agg(
-        *[
-            _pearson(F.when(value[b].isNotNull(), value[a]), F.when(value[a].isNotNull(), value[b]))
-            .alias(f"r_{i}")
-            for i, (a, b) in enumerate(pairs)
-        ],
-        F.lit(1.0).alias("one"),
+def _matrix_by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of pairs, grouped; partial aggregation leaves one row per pair and task.
+
+    Pairs are generated as positions into an array of the row's values, which keeps the generated
+    code the same size for any number of columns.
+    """
+    n = len(columns)
+    positions = F.array(
+        *[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in range(n) for j in range(i, n)]
+    )
+    values = F.array(*[_present(df, c) for c in columns]).alias("values")
+    pairs = df.select(values, F.inline(positions)).select(
+        "a", "b", F.get("values", F.col("a")).alias("x"), F.get("values", F.col("b")).alias("y")
+    )
+    found = pairs.groupBy("a", "b").agg(_pearson())
+    upper = df.sparkSession.range(1).select(F.inline(positions)).join(found, ["a", "b"], "left")
+
+    name = F.array(*[F.lit(c) for c in columns])
+    one = F.col("a") == F.col("b")
+    here, mirrored = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    cells = F.when(one, F.array(here)).otherwise(F.array(here, mirrored))
+    return upper.select(F.when(one, 1.0).otherwise(F.col("corr")).alias("corr"), F.inline(cells)).select(
+        F.get(name, F.col("a")).alias("feature_a"), F.get(name, F.col("b")).alias("feature_b"), "corr"
     )
-    rows = [(F.lit(c), F.lit(c), F.col("one")) for c in columns]
-    for i, (a, b) in enumerate(pairs):
-        rows += [(F.lit(a), F.lit(b), F.col(f"r_{i}")), (F.lit(b), F.lit(a), F.col(f"r_{i}"))]
-    return wide.select(long_rows(rows, ["feature_a", "feature_b", "corr"]))
 
 
 def _matrix_by_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
-    """MLlib's Gramian: its state grows with the columns, not with the pairs of expressions."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
-    matrix = Correlation.corr(vectors.transform(df).select("features"), "features").head()[0]
+    """MLlib's Gramian, two passes over the kept vectors: one for the means, one for the products.
+
+    Only the matrix, columns x columns, comes to the driver.
+    """
+    assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
+    with cached(assembler.transform(df).select("features")) as vectors:
+        matrix = Correlation.corr(vectors, "features").head()[0]
     cells = [
         (a, b, None if r != r else float(r))
         for a, line in zip(columns, matrix.toArray())
@@ -83,17 +95,9 @@ def feature_label_corr(
 
     Pairwise complete: a row counts for a feature when both the feature and the label are present.
     """
-    value = _doubles(df, columns)
-    y = label.cast("double")
-    wide = df.agg(
-        *[
-            _pearson(F.when(y.isNotNull(), value[c]), F.when(value[c].isNotNull(), y)).alias(f"r_{i}")
-            for i, c in enumerate(columns)
-        ]
-    )
-    rows = [(F.lit(c), F.col(f"r_{i}")) for i, c in enumerate(columns)]
-    ranked = wide.select(long_rows(rows, ["feature", "corr"])).orderBy(
-        F.abs("corr").desc_nulls_last(), "feature"
-    )
+    found = by_column(df, {c: _present(df, c) for c in columns}, [_pearson()], y=label)
+    ranked = found.orderBy(F.abs("corr").desc_nulls_last(), "column")
     shown = F.col("corr") if digits is None else F.round("corr", digits)
-    return ranked.select("feature", shown.alias("corr"), F.abs(shown).alias("abs_corr"))
+    return ranked.select(
+        F.col("column").alias("feature"), shown.alias("corr"), F.abs(shown).alias("abs_corr")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxtable.functions.scalars import is_missing, long_rows
+from voxtable.functions.scalars import by_column, is_missing
 
 
 def dataset_shape(df: DataFrame) -> DataFrame:
@@ -20,23 +20,24 @@ def sample_rows(df: DataFrame, order_by: list[str], columns: list[str], n: int =
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample std, min and max per column, typed, one row per column."""
-    stats = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.agg(
-        *[
-            (fn(c) if stat == "count" else fn(F.col(c).cast("double"))).alias(f"{stat}_{i}")
-            for i, c in enumerate(columns)
-            for stat, fn in stats.items()
-        ]
-    )
-    rows = [(F.lit(c), *[F.col(f"{s}_{i}") for s in stats]) for i, c in enumerate(columns)]
-    return wide.select(long_rows(rows, ["column", *stats]))
+    x = F.col("x")
+    return by_column(
+        df,
+        {c: F.col(c).cast("double") for c in columns},
+        [
+            F.count(x).alias("count"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("stddev"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
+        ],
+    ).na.fill(0, ["count"])
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """Missing cells per column: NULL, or NaN in floating-point columns."""
-    wide = df.agg(*[F.count_if(is_missing(df, c)).alias(f"m_{i}") for i, c in enumerate(df.columns)])
-    rows = [(F.lit(c), F.col(f"m_{i}")) for i, c in enumerate(df.columns)]
-    return wide.select(long_rows(rows, ["column", "missing"]))
+    flags = {c: is_missing(df, c) for c in df.columns}
+    return by_column(df, flags, [F.count_if("x").alias("missing")]).na.fill(0, ["missing"])
 
 
 def group_frequency(df: DataFrame, by: str) -> DataFrame:
@@ -51,14 +52,20 @@ def group_frequency(df: DataFrame, by: str) -> DataFrame:
     return counts.withColumn("percent", percent).orderBy(F.desc("count"), F.col(by))
 
 
-def group_stats(
-    df: DataFrame, by: str, columns: list[str], digits: int | None = 2
-) -> DataFrame:
-    """avg / std (sample) / max / min of each column per group, ordered by group."""
+def group_stats(df: DataFrame, by: str, columns: list[str], digits: int | None = 2) -> DataFrame:
+    """avg / std (sample) / max / min of each column per group, ordered by group.
+
+    Aggregated long, one row per group and column, and widened afterwards.
+    """
 
     def shown(c: Column) -> Column:
         return c if digits is None else F.round(c, digits)
 
     stats = {"avg": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
-    aggregates = [shown(fn(c)).alias(f"{s}_{c}") for s, fn in stats.items() for c in columns]
-    return df.groupBy(by).agg(*aggregates).orderBy(by)
+    values = {c: F.col(c).cast("double") for c in columns}
+    aggregates = [shown(fn("x")).alias(s) for s, fn in stats.items()]
+    cells = by_column(df, values, aggregates, keep=(by,))
+    wide = cells.groupBy(by).pivot("column", columns).agg(*[F.first(s).alias(s) for s in stats])
+    return wide.select(
+        by, *[F.col(f"`{c}_{s}`").alias(f"{s}_{c}") for s in stats for c in columns]
+    ).orderBy(by)
