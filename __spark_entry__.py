@@ -85,6 +85,11 @@ def _with_attribute(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.attach_attribute(subjects, standins.survival(spark, sf))
 
 
+def _imputed(spark: SparkSession, sf: str) -> DataFrame:
+    joined = tables.materialize(_with_attribute(spark, sf))
+    return enrich.impute_median(joined, "age").select("volume_id", "subject_id", "age")
+
+
 def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
     return dataset.build_feature_table(
         standins.slice_meta(spark, sf),
@@ -204,10 +209,7 @@ def queries() -> dict[str, Query]:
         "attach_label": _labelled,
         "label_coverage": _on(_labelled, lambda df: enrich.coverage(df, "grade")),
         "label_frequencies": _on(_labelled, enrich.label_frequencies),
-        "attach_attribute_median": _on(
-            _with_attribute,
-            lambda df: enrich.impute_median(df, "age").select("volume_id", "subject_id", "age"),
-        ),
+        "attach_attribute_median": lambda spark, sf: _rounded(_imputed(spark, sf)),
         "attribute_coverage": _on(_with_attribute, lambda df: enrich.coverage(df, "age")),
         "exact_median": _on(lines, lambda df: ordered.exact_median(df, "l_extendedprice")),
         "feature_table": lambda spark, sf: _rounded(_feature_table(spark, sf)),

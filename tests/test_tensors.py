@@ -152,11 +152,11 @@ def test_channel_counts_match_numpy(spark):
 
 def test_mask_values_are_raw_and_sorted(spark):
     mask = np.zeros((2, 2, 3), int)
-    mask[0, 0, 0], mask[1, 1, 0], mask[0, 1, 2] = 4, 2, 1
+    mask[0, 0, 0], mask[1, 1, 0], mask[0, 1, 2], mask[1, 0, 2] = 4, 2, 1, -3
     df = make_slices(spark, [(1, 0, np.zeros((2, 2, 4)), mask)])
-    assert tensors.mask_values_per_slice(df).head().mask_values == "0,1,2,4"
+    assert tensors.mask_values_per_slice(df).head().mask_values == "-3,0,1,2,4"
     by_channel = {r.channel: r.mask_values for r in tensors.mask_values_per_channel(df).collect()}
-    assert by_channel == {0: "0,2,4", 1: "0", 2: "0,1"}
+    assert by_channel == {0: "0,2,4", 1: "0", 2: "-3,0,1"}
 
 
 def test_first_active_slice_and_shapes(spark):

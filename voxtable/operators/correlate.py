@@ -53,15 +53,17 @@ def _matrix_by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     code the same size for any number of columns.
     """
     n = len(columns)
-    positions = F.array(
-        *[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i in range(n) for j in range(i, n)]
-    )
+
+    def positions(first_after: int) -> Column:
+        places = [(i, j) for i in range(n) for j in range(i + first_after, n)]
+        return F.inline(F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i, j in places]))
+
     values = F.array(*[_present(df, c) for c in columns]).alias("values")
-    pairs = df.select(values, F.inline(positions)).select(
+    pairs = df.select(values, positions(1)).select(
         "a", "b", F.get("values", F.col("a")).alias("x"), F.get("values", F.col("b")).alias("y")
     )
     found = pairs.groupBy("a", "b").agg(_pearson())
-    upper = df.sparkSession.range(1).select(F.inline(positions)).join(found, ["a", "b"], "left")
+    upper = df.sparkSession.range(1).select(positions(0)).join(found, ["a", "b"], "left")
 
     name = F.array(*[F.lit(c) for c in columns])
     one = F.col("a") == F.col("b")

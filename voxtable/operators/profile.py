@@ -65,7 +65,7 @@ def group_stats(df: DataFrame, by: str, columns: list[str], digits: int | None =
     values = {c: F.col(c).cast("double") for c in columns}
     aggregates = [shown(fn("x")).alias(s) for s, fn in stats.items()]
     cells = by_column(df, values, aggregates, keep=(by,))
-    wide = cells.groupBy(by).pivot("column", columns).agg(*[F.first(s).alias(s) for s in stats])
-    return wide.select(
-        by, *[F.col(f"`{c}_{s}`").alias(f"{s}_{c}") for s in stats for c in columns]
-    ).orderBy(by)
+    widened = [
+        F.max(F.when(F.col("column") == c, F.col(s))).alias(f"{s}_{c}") for s in stats for c in columns
+    ]
+    return cells.groupBy(by).agg(*widened).orderBy(by)

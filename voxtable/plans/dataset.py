@@ -40,4 +40,4 @@ def build_feature_table(
 
 def skipped_volumes(slice_meta: DataFrame, tensor_slices: DataFrame) -> DataFrame:
     """Volumes with metadata but without tensor slices, which the feature table leaves out."""
-    return metadata.missing_volumes(metadata.volume_ids(slice_meta), tensor_slices)
+    return metadata.missing_volumes(slice_meta.select("volume_id").distinct(), tensor_slices)

@@ -25,7 +25,7 @@ def read_columns(spark: SparkSession, path: str, columns: dict[str, tuple[str, s
     ``columns`` maps an output name to (header name, type). Only these columns are parsed, no
     inference pass is run, and a cell that does not fit its type fails the cast under ANSI.
     """
-    text = spark.read.csv(path, header=True)
+    text = spark.read.csv(path, header=True, enforceSchema=False)
     return text.select(*[F.col(f"`{h}`").cast(t).alias(c) for c, (h, t) in columns.items()])
 
 
