@@ -29,11 +29,15 @@ def read_columns(spark: SparkSession, path: str, columns: dict[str, tuple[str, s
     return text.select(*[F.col(f"`{h}`").cast(t).alias(c) for c, (h, t) in columns.items()])
 
 
+# Header names of the slice-metadata file, in the order of ``SLICE_META``.
+SLICE_META_HEADERS = ("volume", "slice", "label0_pxl_cnt", "label1_pxl_cnt", "label2_pxl_cnt")
+
+
 def read_slice_meta(spark: SparkSession, path: str) -> DataFrame:
     """Slice-metadata CSV as ``(volume_id, slice, n0, n1, n2)``."""
-    headers = ["volume", "slice", "label0_pxl_cnt", "label1_pxl_cnt", "label2_pxl_cnt"]
     columns = {
-        f.name: (header, f.dataType.simpleString()) for f, header in zip(SLICE_META, headers)
+        f.name: (header, f.dataType.simpleString())
+        for f, header in zip(SLICE_META, SLICE_META_HEADERS)
     }
     return read_columns(spark, path, columns)
 
