@@ -88,3 +88,9 @@ def test_impute_median(spark, approx, middle):
     values = [(1.0,), (10.0,), (None,), (4.0,), (float("nan"),), (2.0,)]
     df = enrich.impute_median(spark.createDataFrame(values, "age double"), "age", approx)
     assert sorted(r.age for r in df.collect()) == sorted([1.0, 10.0, 4.0, 2.0, middle, middle])
+
+
+def test_impute_median_of_other_rows(spark):
+    df = spark.createDataFrame([(1.0, "train"), (3.0, "train"), (50.0, "test"), (None, "test")], "age double, split string")
+    filled = enrich.impute_median(df, "age", fit_on=df.where("split = 'train'"))
+    assert sorted(r.age for r in filled.collect()) == [1.0, 2.0, 3.0, 50.0]

@@ -47,17 +47,21 @@ def attach_attribute(
     return df.join(attributes.select(key, column), key, "left")
 
 
-def impute_median(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
+def impute_median(
+    df: DataFrame, column: str, approx: bool = False, fit_on: DataFrame | None = None
+) -> DataFrame:
     """Fill missing values with the median of the present ones.
 
-    The median reaches the rows as a scalar subquery. ``df`` is read again for it: pass a
-    materialized frame if it is expensive to compute.
+    The median is taken over all rows, or over ``fit_on`` (the training rows, say). It reaches the
+    rows as a scalar subquery, for which its table is read again: pass a materialized frame if it
+    is expensive to compute.
     """
+    source = df if fit_on is None else fit_on
     if approx:
-        present = df.where(~is_missing(df, column))
+        present = source.where(~is_missing(source, column))
         median = present.agg(F.percentile_approx(F.col(column).cast("double"), 0.5, 10_000))
     else:
-        median = exact_median(df, column)
+        median = exact_median(source, column)
     filled = F.when(is_missing(df, column), median.scalar()).otherwise(F.col(column).cast("double"))
     return df.withColumn(column, filled)
 

@@ -20,8 +20,8 @@ def slice_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("volume_id"),
         F.col("l_linenumber").alias("slice"),
-        F.round(F.col("l_discount") * 100).cast("bigint").alias("n0"),
-        F.round(F.col("l_tax") * 100).cast("bigint").alias("n1"),
+        F.floor(F.col("l_discount") * 100 + 0.5).alias("n0"),
+        F.floor(F.col("l_tax") * 100 + 0.5).alias("n1"),
         returned.cast("bigint").alias("n2"),
     )
 
