@@ -74,7 +74,8 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     volumes, mapping = standins.nation_volumes(spark, sf), standins.nation_map(spark, sf)
-    return enrich.attach_label(volumes, mapping).select("c_custkey", "volume_id", "subject_id", "grade")
+    labelled = enrich.attach_label(volumes, mapping)
+    return labelled.select("c_custkey", "volume_id", "subject_id", "grade")
 
 
 def _with_attribute(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,7 +102,8 @@ def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _skipped_volumes(spark: SparkSession, sf: str) -> DataFrame:
-    return dataset.skipped_volumes(standins.slice_meta(spark, sf), standins.tensor_slices(spark, sf))
+    slices = standins.tensor_slices(spark, sf)
+    return dataset.skipped_volumes(standins.slice_meta(spark, sf), slices)
 
 
 def _sample(df: DataFrame) -> DataFrame:
@@ -166,7 +168,8 @@ def _importance(spark: SparkSession, sf: str) -> DataFrame:
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     model, test = _fitted(spark, sf, models.random_forest())
-    return evaluate.prediction_table(models.score_rows(model, test, training.RANDOM_FOREST), "doc_id")
+    scored = models.score_rows(model, test, training.RANDOM_FOREST)
+    return evaluate.prediction_table(scored, "doc_id")
 
 
 def _model_comparison(spark: SparkSession, sf: str) -> DataFrame:

@@ -56,7 +56,9 @@ def _matrix_by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 
     def positions(first_after: int) -> Column:
         places = [(i, j) for i in range(n) for j in range(i + first_after, n)]
-        return F.inline(F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i, j in places]))
+        return F.inline(
+            F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i, j in places])
+        )
 
     values = F.array(*[_present(df, c) for c in columns]).alias("values")
     pairs = df.select(values, positions(1)).select(
@@ -69,8 +71,11 @@ def _matrix_by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     one = F.col("a") == F.col("b")
     here, mirrored = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
     cells = F.when(one, F.array(here)).otherwise(F.array(here, mirrored))
-    return upper.select(F.when(one, 1.0).otherwise(F.col("corr")).alias("corr"), F.inline(cells)).select(
-        F.get(name, F.col("a")).alias("feature_a"), F.get(name, F.col("b")).alias("feature_b"), "corr"
+    corr = F.when(one, 1.0).otherwise(F.col("corr")).alias("corr")
+    return upper.select(corr, F.inline(cells)).select(
+        F.get(name, F.col("a")).alias("feature_a"),
+        F.get(name, F.col("b")).alias("feature_b"),
+        "corr",
     )
 
 

@@ -31,7 +31,7 @@ def attach_label(
     id_pattern: str = r"_(\d+)$",
     strict: bool = True,
 ) -> DataFrame:
-    """Left join of subject and label on the number at the end of the subject's name."""
+    """Left join of subject and label on the number that ends the subject's name."""
     mapping = name_map.select(
         trailing_id(F.col(subject_column), id_pattern, strict).alias("volume_id"),
         F.col(subject_column).alias("subject_id"),

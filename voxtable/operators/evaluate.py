@@ -56,7 +56,10 @@ def class_metrics(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     sides = counts.select(
         *by,
         long_rows(
-            [(F.col("label"), F.col("n"), none, hit), (F.col("prediction"), none, F.col("n"), none)],
+            [
+                (F.col("label"), F.col("n"), none, hit),
+                (F.col("prediction"), none, F.col("n"), none),
+            ],
             ["class", "actual", "predicted", "correct"],
         ),
     )
@@ -109,7 +112,9 @@ def model_winner(metrics: DataFrame, first: str, second: str) -> DataFrame:
     def of(model: str) -> Column:
         return F.max(F.when(F.col("model") == model, F.col("value")))
 
-    sides = metrics.groupBy("metric").agg(of(first).alias("first_value"), of(second).alias("second_value"))
+    sides = metrics.groupBy("metric").agg(
+        of(first).alias("first_value"), of(second).alias("second_value")
+    )
     winner = F.when(F.col("first_value") >= F.col("second_value"), first).when(
         F.col("first_value") < F.col("second_value"), second
     )

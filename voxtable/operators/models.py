@@ -74,20 +74,19 @@ def cross_validate(
     grid = grid or [{}]
     folds = sorted(row.fold for row in train.select("fold").distinct().collect())
 
-    def score(task: tuple[int, int]) -> float:
-        candidate, fold = task
-        model = estimator.fit(train.where(F.col("fold") != fold), grid[candidate])
+    def score(params: dict, fold: int) -> float:
+        model = estimator.fit(train.where(F.col("fold") != fold), params)
         return evaluator.evaluate(model.transform(train.where(F.col("fold") == fold)))
 
     with_session = inheritable_thread_target(train.sparkSession)
-    tasks = [(c, f) for c in range(len(grid)) for f in folds]
-    with ThreadPool(min(parallelism, len(tasks) + 1)) as pool:
-        refit = lambda best: pool.apply_async(with_session(estimator.fit), (train, grid[best]))
-        early = refit(0) if len(grid) == 1 else None
-        results = pool.map(with_session(score), tasks, chunksize=1)
-        scores = [sum(results[i : i + len(folds)]) / len(folds) for i in range(0, len(tasks), len(folds))]
-        best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=scores.__getitem__)
-        model = (early or refit(best)).get()
+    with ThreadPool(min(parallelism, len(grid) * len(folds) + 1)) as pool:
+        refit = with_session(estimator.fit)
+        only = pool.apply_async(refit, (train, grid[0])) if len(grid) == 1 else None
+        runs = [[pool.apply_async(with_session(score), (p, f)) for f in folds] for p in grid]
+        scores = [sum(run.get() for run in of_candidate) / len(folds) for of_candidate in runs]
+        pick = max if evaluator.isLargerBetter() else min
+        best = scores.index(pick(scores))
+        model = only.get() if only else estimator.fit(train, grid[best])
     return CrossValidated(model, scores, best)
 
 

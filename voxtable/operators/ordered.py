@@ -99,9 +99,11 @@ def area_under_roc(
     The share of (positive, negative) pairs that the score puts in order, ties counting one half.
     Rows are counted per score first: a score shared by a third of the rows is one row. The
     running count of negatives is a window inside each bucket plus the total of the buckets below.
-    NULL if one class is absent.
+    NULL if one class is absent; a missing score is an error.
     """
-    rows = scored.select(*by, F.col(score).cast("double").alias("score"), F.col(label).alias("label"))
+    rows = scored.select(
+        *by, F.col(score).cast("double").alias("score"), F.col(label).alias("label")
+    )
     ties = rows.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).cast("double").alias("pos"),
         F.count_if(F.col("label") == 0).cast("double").alias("neg"),

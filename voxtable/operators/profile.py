@@ -66,6 +66,8 @@ def group_stats(df: DataFrame, by: str, columns: list[str], digits: int | None =
     aggregates = [shown(fn("x")).alias(s) for s, fn in stats.items()]
     cells = by_column(df, values, aggregates, keep=(by,))
     widened = [
-        F.max(F.when(F.col("column") == c, F.col(s))).alias(f"{s}_{c}") for s in stats for c in columns
+        F.max(F.when(F.col("column") == c, F.col(s))).alias(f"{s}_{c}")
+        for s in stats
+        for c in columns
     ]
     return cells.groupBy(by).agg(*widened).orderBy(by)

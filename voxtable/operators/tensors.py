@@ -92,8 +92,7 @@ def volume_features(
         raise ValueError(f"whole_mask must be 'union' or 'sum', not {whole_mask!r}")
     header, pixel = F.col("pos") == -1, F.col("pos") >= 0
     active_slice = F.when(header & F.col("slice_active"), F.col("slice_idx"))
-    place = {"x": "x", "y": "y", "slice": F.when(pixel, F.col("slice_idx"))}
-    place = {axis: (F.col(c) if isinstance(c, str) else c).cast("double") for axis, c in place.items()}
+    place = {"x": F.col("x"), "y": F.col("y"), "slice": F.when(pixel, F.col("slice_idx"))}
 
     intensity = []
     for m in layout.modalities:
@@ -114,10 +113,13 @@ def volume_features(
             F.coalesce(F.min(active_slice), F.lit(-1)).alias("start_slice"),
             F.coalesce(F.max(active_slice), F.lit(-1)).alias("end_slice"),
             F.count_if(pixel).alias("union_voxels"),
-            *[F.count_if(F.col(f"active_{c}")).alias(f"voxels_ch{c}") for c in range(layout.channels)],
+            *[
+                F.count_if(F.col(f"active_{c}")).alias(f"voxels_ch{c}")
+                for c in range(layout.channels)
+            ],
             *intensity,
-            *[F.avg(v).alias(f"centroid_{axis}") for axis, v in place.items()],
-            *[F.stddev_pop(v).alias(f"spread_{axis}") for axis, v in place.items()],
+            *[F.avg(v.cast("double")).alias(f"centroid_{a}") for a, v in place.items()],
+            *[F.stddev_pop(v.cast("double")).alias(f"spread_{a}") for a, v in place.items()],
         )
     )
     voxels = [F.col(f"voxels_ch{c}") for c in range(layout.channels)]

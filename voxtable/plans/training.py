@@ -59,7 +59,8 @@ def train_and_compare(
         fitted = models.cross_validate_all(train, estimators, parallelism)
         predictions = [models.score_rows(r.model, test, name) for name, r in fitted.items()]
         columns = [key, "model", "label", "prediction", "score", "probability"]
-        with cached(reduce(DataFrame.unionByName, [p.select(columns) for p in predictions])) as scored:
+        both = reduce(DataFrame.unionByName, [p.select(columns) for p in predictions])
+        with cached(both) as scored:
             metrics = evaluate.metrics_long(evaluate.all_metrics(scored))
             tables = {
                 "cv_scores": models.cv_scores(spark, fitted),

@@ -81,12 +81,17 @@ def survival(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scored(spark: SparkSession, sf_dir: str, thresholds: dict[str, float] | None = None) -> DataFrame:
+def scored(
+    spark: SparkSession, sf_dir: str, thresholds: dict[str, float] | None = None
+) -> DataFrame:
     """Events as scored rows; each threshold on the value acts as one model."""
     thresholds = thresholds or {"value > 100": 100.0}
     models = F.array(
         *[
-            F.struct(F.lit(name).alias("model"), (F.col("value") > cut).cast("double").alias("prediction"))
+            F.struct(
+                F.lit(name).alias("model"),
+                (F.col("value") > cut).cast("double").alias("prediction"),
+            )
             for name, cut in thresholds.items()
         ]
     )

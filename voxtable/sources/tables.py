@@ -96,7 +96,8 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the work folder and read it back.
 
     Cuts the lineage for good, survives lost executors, and keeps column pruning and size
-    statistics for whatever is built on top.
+    statistics for whatever is built on top. Nothing is deleted here: the work folder is tidied up
+    like any checkpoint folder.
     """
     path = work_folder(df.sparkSession)
     df.write.parquet(path)
