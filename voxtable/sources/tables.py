@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -80,15 +79,12 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh path for intermediate tables in the folder named by ``spark.checkpoint.dir``.
+    """A fresh path for an intermediate table, in a folder that all executors share.
 
-    Executors have to share that folder; without the setting only a local session gets one.
+    That is the folder named by ``spark.checkpoint.dir``, or the warehouse of the session where
+    that is unset. Never a folder of one machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/voxtable-{uuid.uuid4().hex}"
 
 
