@@ -33,6 +33,14 @@ from voxtable.plans import dataset, training
 from voxtable.schemas import SLICE_META
 from voxtable.sources import standins, tables
 
+try:  # the operators on documents can be taken out as a whole
+    import corpus_pipeline
+    import voxtable.llm.queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "voxtable.llm", "voxtable.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODELS = {"value > 100": 100.0, "value > 50": 50.0}
@@ -190,7 +198,11 @@ def queries() -> dict[str, Query]:
     """One entry per operator; each takes (spark, sf_dir)."""
     meta, slices = standins.slice_meta, standins.tensor_slices
     lines, documents = standins.eda_lines, standins.eda_documents
+    on_documents = {}
+    if llm_queries:
+        on_documents = {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
     return {
+        **on_documents,
         "slice_meta_features": _on(meta, metadata.volume_metadata),
         "missing_volumes": _missing_volumes,
         "volume_slice_stats": _on(meta, metadata.volume_slice_stats),
@@ -253,4 +265,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for every query that SQL can state; the trained models have none."""
-    return dict(ORACLES)
+    on_documents = {}
+    if llm_queries:
+        on_documents = {**llm_queries.oracle_sql(), "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in {**ORACLES, **on_documents}.items() if sql}
