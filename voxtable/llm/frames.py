@@ -69,3 +69,9 @@ def join_counted(
     cold = groups.where(~is_hot)
     rest = rows.join(F.broadcast(groups.where(is_hot).select(key)), key, "left_anti")
     return rows.join(hot, key).unionByName(rest.join(cold, key, "left"))
+
+
+def with_results(df: DataFrame, result: Column, names: list[str]) -> DataFrame:
+    """The input's columns followed by the named fields of a struct column."""
+    rows = nested(df, df.columns, result=result)
+    return restored(rows, df.columns, **{n: F.col("result").getField(n) for n in names})

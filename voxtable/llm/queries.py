@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtable.llm import exact_dedup
+from voxtable.llm import bpe, exact_dedup, token_counts
+
+VOCABULARY = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +22,16 @@ def _exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_duplicates(documents(spark, sf), carry=["doc_id"])
 
 
+def _token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path(VOCABULARY)).drop("text")
+
+
+def _bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return bpe.encode_digests(docs, public_tokenizers.path(VOCABULARY)).drop("text")
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -30,7 +43,11 @@ EXACT_DEDUP = f"""
 
 def queries() -> dict[str, Query]:
     """One entry for each operator; each takes (spark, sf_dir)."""
-    return {"op1_exact_dedup": _exact_dedup}
+    return {
+        "op1_exact_dedup": _exact_dedup,
+        "op4_token_counts": _token_counts,
+        "op5_bpe": _bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
