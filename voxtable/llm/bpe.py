@@ -163,11 +163,14 @@ class Remembered(dict):
         value = self._older.get(key)
         if value is None:
             value = self._function(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self._limit:
             self._older = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 class Vocabulary:
@@ -212,9 +215,9 @@ class Vocabulary:
 class Encoder:
     """Texts to ids and back, with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 200_000):
+    def __init__(self, text: str, remembered: int = 600_000):
         self.vocabulary = Vocabulary(text)
-        self._of_piece = Remembered(self._encode_piece, remembered)
+        self._of_piece = Remembered(self._encode_piece, remembered // 2)
         self._of_word = Remembered(self._encode_word, remembered)
 
     def _encode_piece(self, piece: str) -> bytes:

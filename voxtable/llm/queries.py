@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtable.llm import bpe, exact_dedup, token_counts
+from voxtable.llm import bpe, exact_dedup, packing, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,6 +32,10 @@ def _bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path(VOCABULARY)).drop("text")
 
 
+def _packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -47,6 +51,7 @@ def queries() -> dict[str, Query]:
         "op1_exact_dedup": _exact_dedup,
         "op4_token_counts": _token_counts,
         "op5_bpe": _bpe,
+        "op10_packing": _packing,
     }
 
 

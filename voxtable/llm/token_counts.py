@@ -76,9 +76,9 @@ def _word_start(part: str, k: int) -> int:
 class Counter:
     """Counts tokens with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 400_000):
+    def __init__(self, text: str, remembered: int = 600_000):
         self.vocabulary = Vocabulary(text)
-        self._of_piece = Remembered(lambda p: self._counts(p.encode())[-1], remembered)
+        self._of_piece = Remembered(lambda p: self._counts(p.encode())[-1], remembered // 2)
         self.of_word = Remembered(self._of_new_word, remembered)
 
     def _counts(self, piece: bytes, ends: list[int] | None = None) -> list[int]:
