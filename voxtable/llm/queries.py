@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtable.llm import bpe, exact_dedup, packing, token_counts
+from voxtable.llm import bpe, exact_dedup, packing, quality_rules, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,6 +32,11 @@ def _bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path(VOCABULARY)).drop("text")
 
 
+def _quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return quality_rules.judge_documents(docs).drop("text")
+
+
 def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
@@ -45,15 +50,59 @@ EXACT_DEDUP = f"""
   WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+# Words as a list, lines as a list; then the positions of 5-word windows that occur again.
+QUALITY_RULES = r"""
+  WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+  placed AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM texts),
+  windows AS (
+    SELECT doc_id, pos, concat_ws(' ', word, lead(word) OVER d, lead(word, 2) OVER d,
+                                  lead(word, 3) OVER d, lead(word, 4) OVER d) AS five,
+           lead(word, 4) OVER d IS NOT NULL AS whole
+    FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+  repeated AS (
+    SELECT doc_id, pos FROM (
+      SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows WHERE whole)
+    WHERE n > 1),
+  repeats AS (
+    SELECT doc_id, count(*) AS n_repeat_words FROM (
+      SELECT DISTINCT doc_id, pos + unnest(range(5)) AS pos FROM repeated) GROUP BY doc_id),
+  counts AS (
+    SELECT doc_id, text, words, len(words) AS n_words, len(lines) AS n_lines,
+           CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
+           length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
+           len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_stutters
+    FROM texts LEFT JOIN repeats USING (doc_id))
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
+              OR 10 * n_symbols > n_words
+              OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+              OR 2 * n_dup_lines > n_lines
+              OR 2 * n_capitals > n_letters
+              OR 5 * n_stutters > n_words
+              OR len(list_distinct(words)) * len(list_distinct(words)) < n_words) AS kept
+  FROM counts"""
+
+
 def queries() -> dict[str, Query]:
     """One entry for each operator; each takes (spark, sf_dir)."""
     return {
         "op1_exact_dedup": _exact_dedup,
         "op4_token_counts": _token_counts,
         "op5_bpe": _bpe,
+        "op6_quality_rules": _quality_rules,
         "op10_packing": _packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op6_quality_rules": QUALITY_RULES}
