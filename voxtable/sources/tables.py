@@ -97,7 +97,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = work_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
