@@ -215,7 +215,7 @@ class Vocabulary:
 class Encoder:
     """Texts to ids and back, with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 600_000):
+    def __init__(self, text: str, remembered: int = 400_000):
         self.vocabulary = Vocabulary(text)
         self._of_piece = Remembered(self._encode_piece, remembered // 2)
         self._of_word = Remembered(self._encode_word, remembered)
@@ -264,13 +264,12 @@ def _encoded(text: Column, vocabulary: str, schema: str, result: Callable) -> Co
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(vocabulary)
         names = [field.split(" ")[0] for field in schema.split(", ")]
+        kinds = [pa.binary(), pa.string()] if schema == ENCODED else [pa.string(), pa.string()]
         for batch in batches:
-            rows = [result(own, ids) for ids in map(own.encode, batch.to_pylist())]
+            rows = [result(own, own.encode(text.as_py())) for text in batch]
             columns = list(zip(*rows)) or [()] * len(names)
-            types = [pa.int64(), *([pa.binary(), pa.string()] if schema == ENCODED else [pa.string()] * 2)]
-            yield pa.StructArray.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names
-            )
+            arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64(), *kinds])]
+            yield pa.StructArray.from_arrays(arrays, names)
 
     return encoded(text)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtable.llm import bpe, exact_dedup, packing, quality_rules, token_counts
+from voxtable.llm import bpe, exact_dedup, packing, quality_rules, simhash, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -37,6 +37,10 @@ def _quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge_documents(docs).drop("text")
 
 
+def _simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.mark_near_duplicates(documents(spark, sf), carry=["doc_id"]).drop("kept")
+
+
 def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
@@ -100,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op4_token_counts": _token_counts,
         "op5_bpe": _bpe,
         "op6_quality_rules": _quality_rules,
+        "op8_simhash": _simhash,
         "op10_packing": _packing,
     }
 

@@ -76,7 +76,7 @@ def _word_start(part: str, k: int) -> int:
 class Counter:
     """Counts tokens with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 600_000):
+    def __init__(self, text: str, remembered: int = 400_000):
         self.vocabulary = Vocabulary(text)
         self._of_piece = Remembered(lambda p: self._counts(p.encode())[-1], remembered // 2)
         self.of_word = Remembered(self._of_new_word, remembered)
@@ -137,22 +137,20 @@ def count_tokens(
     result column gives way; an empty table gives an empty table.
     """
     vocabulary = read_vocabulary(vocabulary_path)
+    names = ["n_bytes", "n_tokens", "over_limit", "chars_in_limit"]
 
     @F.arrow_udf(RESULT)
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = counter(vocabulary)
         for batch in batches:
-            texts = batch.to_pylist()
-            prefixes = [PrefixCounts(own, text) for text in texts]
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array([len(t.encode()) for t in texts], pa.int64()),
-                    pa.array([p.total for p in prefixes], pa.int64()),
-                    pa.array([p.total > limit for p in prefixes], pa.bool_()),
-                    pa.array([p.chars_within(limit) for p in prefixes], pa.int64()),
-                ],
-                ["n_bytes", "n_tokens", "over_limit", "chars_in_limit"],
-            )
+            rows = []
+            for text in map(pa.Scalar.as_py, batch):  # one text and its counts at a time
+                prefixes = PrefixCounts(own, text)
+                total, fit = prefixes.total, prefixes.chars_within(limit)
+                rows.append((len(text.encode()), total, total > limit, fit))
+            columns = list(zip(*rows)) or [()] * len(names)
+            types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+            yield pa.StructArray.from_arrays(arrays, names)
 
-    names = ["n_bytes", "n_tokens", "over_limit", "chars_in_limit"]
     return with_results(df, counted(text_of(text_col)), names)
