@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtable.llm import bpe, exact_dedup, packing, quality_rules, simhash, token_counts
+from voxtable.llm import (
+    bpe,
+    exact_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_counts,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -41,6 +49,10 @@ def _simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.mark_near_duplicates(documents(spark, sf), carry=["doc_id"]).drop("kept")
 
 
+def _secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.find_secrets(documents(spark, sf).select("doc_id", "text")).drop("text")
+
+
 def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
@@ -54,6 +66,65 @@ EXACT_DEDUP = f"""
   WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+# Matches of a pattern with what lies before each, summed up to places.
+MATCHES = r"""
+    SELECT doc_id, {kind} AS kind, found[i] AS found,
+           list_sum(list_transform(before[:i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(found[:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT doc_id, before, found, unnest(range(1, len(found) + 1)) AS i FROM (
+      SELECT doc_id, string_split_regex(text, '{pattern}') AS before,
+             regexp_extract_all(text, '{pattern}') AS found FROM texts))"""
+
+
+def _matches(kind: int, pattern: str) -> str:
+    return MATCHES.format(kind=kind, pattern=pattern.replace("'", "''"))
+
+
+CLASSES = (
+    ("[0-9A-Fa-f]+", ("[0-9]", "[A-Fa-f]"), 3.03),
+    ("[A-Za-z0-9]+", ("[0-9]", "[A-Z]", "[a-z]"), 3.63),
+    (".+", ("[0-9]", "[A-Z]", "[a-z]"), 3.83),
+)
+LEAST_BITS = " ".join(
+    f"WHEN regexp_full_match(found, '{whole}') AND "
+    + " AND ".join(f"regexp_matches(found, '{part}')" for part in parts)
+    + f" THEN {bits}"
+    for whole, parts, bits in CLASSES
+)
+SECRET_SCAN = rf"""
+  WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+  base AS (
+    SELECT doc_id, kind, CAST(start AS BIGINT) AS start, CAST(start + length(found) AS BIGINT) AS stop
+    FROM ({_matches(0, secret_scan.ASSIGN)} UNION ALL
+          {_matches(1, secret_scan.ACCESS)} UNION ALL
+          {_matches(2, secret_scan.HEX)})
+    WHERE kind > 0 OR length(regexp_extract(found, '{secret_scan.ASSIGN.replace("'", "''")}', 2)) >= 6),
+  candidates AS (
+    SELECT *, CASE {LEAST_BITS} END AS least FROM ({_matches(3, secret_scan.CANDIDATE)})),
+  added AS (
+    SELECT doc_id, kind, CAST(start AS BIGINT) AS start, CAST(start + length(found) AS BIGINT) AS stop
+    FROM candidates
+    WHERE NOT ({" OR ".join(f"regexp_matches(found, '{p}')" for p in secret_scan.ALLOWED)})
+      AND list_max(list_transform(range(1, length(found) - 18), lambda i:
+            list_aggregate(string_split(substr(found, i, 20), ''), 'entropy'))) >= least),
+  spans AS (
+    SELECT * FROM base UNION ALL
+    SELECT * FROM added a WHERE NOT EXISTS (
+      SELECT * FROM base b WHERE b.doc_id = a.doc_id AND b.start <= a.start AND b.stop >= a.stop)),
+  listed AS (
+    SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign,
+           count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+           count(*) FILTER (WHERE kind = 3) AS n_entropy,
+           string_agg(place, ',' ORDER BY start, kind) FILTER (WHERE kind < 3) AS base,
+           string_agg(place, ',' ORDER BY start, kind) AS spans
+    FROM (SELECT *, concat_ws(':', ['assign', 'access', 'hex', 'entropy'][kind + 1], start, stop) AS place
+          FROM spans)
+    GROUP BY doc_id)
+  SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+         coalesce(n_hex, 0) AS n_hex, coalesce(n_entropy, 0) AS n_entropy,
+         sha256(coalesce(base, '')) AS base_sha256, coalesce(listed.spans, '') AS spans
+  FROM texts LEFT JOIN listed USING (doc_id)"""
+
 # Words as a list, lines as a list; then the positions of 5-word windows that occur again.
 QUALITY_RULES = r"""
   WITH texts AS (
@@ -101,6 +172,7 @@ def queries() -> dict[str, Query]:
     """One entry for each operator; each takes (spark, sf_dir)."""
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op3_secret_scan": _secret_scan,
         "op4_token_counts": _token_counts,
         "op5_bpe": _bpe,
         "op6_quality_rules": _quality_rules,
@@ -110,4 +182,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op6_quality_rules": QUALITY_RULES}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op3_secret_scan": SECRET_SCAN, "op6_quality_rules": QUALITY_RULES}
