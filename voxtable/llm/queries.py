@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxtable.llm import (
     bpe,
     exact_dedup,
     packing,
+    quality_model,
     quality_rules,
     secret_scan,
     simhash,
@@ -53,6 +55,17 @@ def _secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.find_secrets(documents(spark, sf).select("doc_id", "text")).drop("text")
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo a divisor."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def _quality_model(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return quality_model.classify(docs, labels, _remainder(5) != 0).drop("text")
+
+
 def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
@@ -172,6 +185,7 @@ def queries() -> dict[str, Query]:
     """One entry for each operator; each takes (spark, sf_dir)."""
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op2_quality_model": _quality_model,
         "op3_secret_scan": _secret_scan,
         "op4_token_counts": _token_counts,
         "op5_bpe": _bpe,
