@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voxtable.llm import (
     bpe,
+    class_lm,
     exact_dedup,
     packing,
     quality_model,
@@ -66,6 +67,10 @@ def _quality_model(spark: SparkSession, sf: str) -> DataFrame:
     return quality_model.classify(docs, labels, _remainder(5) != 0).drop("text")
 
 
+def _class_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return class_lm.score_texts(documents(spark, sf), _remainder(7) != 2, carry=["doc_id"])
+
+
 def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
@@ -191,6 +196,7 @@ def queries() -> dict[str, Query]:
         "op5_bpe": _bpe,
         "op6_quality_rules": _quality_rules,
         "op8_simhash": _simhash,
+        "op9_class_lm": _class_lm,
         "op10_packing": _packing,
     }
 
