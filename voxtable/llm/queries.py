@@ -12,6 +12,7 @@ from voxtable.llm import (
     bpe,
     class_lm,
     exact_dedup,
+    license_scan,
     packing,
     quality_model,
     quality_rules,
@@ -71,6 +72,11 @@ def _class_lm(spark: SparkSession, sf: str) -> DataFrame:
     return class_lm.score_texts(documents(spark, sf), _remainder(7) != 2, carry=["doc_id"])
 
 
+def _license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return license_scan.scan_licenses(docs).drop("text")
+
+
 def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
@@ -186,6 +192,36 @@ QUALITY_RULES = r"""
   FROM counts"""
 
 
+def _license_rules(sequence: str) -> tuple[str, str]:
+    """The list of licenses of a sequence, and what is left of it."""
+    found, rest = [], sequence
+    for name, pattern in license_scan.RULES:
+        found.append(f"CASE WHEN regexp_matches({rest}, '{pattern}') THEN '{name}' END")
+        rest = f"regexp_replace({rest}, '{pattern}', '|', 'g')"
+    return f"list_sort(list_distinct([{', '.join(found)}]))", rest
+
+
+KNOWN_SENTENCES = ", ".join(f"('{known}', '{i}')" for known, i in license_scan.SENTENCES.items())
+FOUND_LICENSES, LICENSES_LEFT = _license_rules("sequence")
+LICENSE_SCAN = rf"""
+  WITH sentences AS (
+    SELECT doc_id, unnest(list) AS sentence, unnest(range(len(list))) AS pos FROM (
+      SELECT doc_id, string_split(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(
+               coalesce(text, ''), '{license_scan.MARK_ENDS}', chr(1) || '\1', 'g'),
+               '{license_scan.LINE_ENDS}', chr(1) || '\1', 'g')),
+               '{license_scan.QUOTES.replace("'", "''")}', '', 'g'), '{license_scan.FILLERS}', ' ', 'g'), chr(1)) AS list
+      FROM documents)),
+  sequences AS (
+    SELECT doc_id, count(*) AS n_sentences, string_agg(id, ',' ORDER BY pos) AS sentence_ids,
+           string_agg('<' || id || '>', '' ORDER BY pos) AS sequence
+    FROM sentences JOIN (VALUES {KNOWN_SENTENCES}) known(sentence, id) ON trim(sentences.sentence) = known.sentence
+    GROUP BY doc_id)
+  SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(sentence_ids, '') AS sentence_ids,
+         coalesce(array_to_string({FOUND_LICENSES}, ','), '') AS licenses,
+         CAST(coalesce(length(regexp_replace({LICENSES_LEFT}, '[^<]', '', 'g')), 0) AS BIGINT) AS unmatched
+  FROM documents LEFT JOIN sequences USING (doc_id)"""
+
+
 def queries() -> dict[str, Query]:
     """One entry for each operator; each takes (spark, sf_dir)."""
     return {
@@ -195,6 +231,7 @@ def queries() -> dict[str, Query]:
         "op4_token_counts": _token_counts,
         "op5_bpe": _bpe,
         "op6_quality_rules": _quality_rules,
+        "op7_license_scan": _license_scan,
         "op8_simhash": _simhash,
         "op9_class_lm": _class_lm,
         "op10_packing": _packing,
@@ -202,4 +239,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op3_secret_scan": SECRET_SCAN, "op6_quality_rules": QUALITY_RULES}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op3_secret_scan": SECRET_SCAN, "op6_quality_rules": QUALITY_RULES, "op7_license_scan": LICENSE_SCAN}
