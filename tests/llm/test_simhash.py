@@ -1,0 +1,101 @@
+"""Fingerprints, links and components against brute force."""
+
+import numpy as np
+import pytest
+import xxhash
+
+from tests.llm import helpers
+from voxtable.llm import queries, simhash, vptree
+from voxtable.llm.components import smallest_reachable
+
+
+def _fingerprint(text):
+    words = helpers.WORD.findall(helpers.ascii_lower(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def _clusters():
+    """Random points, loose and tight groups around some, and a dense group with a third of all."""
+    rng = np.random.default_rng(3)
+    points = rng.integers(0, 1 << 63, 1200, dtype=np.uint64)
+    groups = [(points[0], 900, 6)] + [(p, 4, 5) for p in points[:150]]
+    found = points.tolist()
+    for centre, n, bits in groups:
+        for _ in range(n):
+            flipped = rng.choice(64, rng.integers(0, bits + 1), replace=False)
+            found.append(int(centre) ^ sum(1 << int(b) for b in flipped))
+    return np.unique(np.array(found, np.uint64))
+
+
+def test_fingerprints():
+    texts = [helpers.text_of(t) for _, t in helpers.TEXTS[:9]]
+    for text in [*texts, "one", "One two\tthree", "a b c d e f " * 40]:
+        assert simhash.fingerprint(text, 4) == _fingerprint(text)
+
+
+def test_tree_of_whole_fingerprints():
+    points = _clusters()
+    roots = vptree.connected(points, points, len(points), 4, 4)
+    assert roots.tolist() == helpers.components(points, 4)
+
+
+@pytest.mark.parametrize(
+    "segments, shard_points, tile_points", [(4, 20_000, 200_000), (4, 200, 100), (2, 300, 100_000)]
+)
+def test_links_connect_what_is_near(spark, segments, shard_points, tile_points):
+    points = _clusters()
+    signed = points.view(np.int64)
+    df = spark.createDataFrame([(p,) for p in signed.tolist()], "fingerprint bigint")
+    links = simhash.near_links(df, len(points), 4, segments, shard_points, tile_points, 1000)
+    found = {r.node: r.root for r in smallest_reachable(links).collect()}
+    reached = [found.get(p, p) for p in signed.tolist()]
+    roots = helpers.components(points, 4)
+    least = {}
+    for root, point in zip(roots, signed.tolist()):
+        least[root] = min(point, least.get(root, point))
+    assert reached == [least[r] for r in roots]
+    assert links.count() < 60 * len(points)  # spanning stars and no pairs of the dense group
+
+
+def test_shards_part_the_points():
+    points = np.unique(np.random.default_rng(1).integers(0, 1 << 16, 3000, dtype=np.uint64))
+    tree = vptree.Shards.build(points, 16)
+    homes = tree.home(points)
+    assert tree.leaves == 16 and set(homes.tolist()) == set(range(16))
+    index, shard = tree.reached(points, 1)
+    reached = set(zip(index.tolist(), shard.tolist()))
+    for i in range(0, len(points), 50):
+        near = np.flatnonzero(np.bitwise_count(points ^ points[i]) <= 1)
+        assert all((i, homes[j]) in reached for j in near.tolist())
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    path = [(i, i + 1) for i in range(100, 160)]
+    star = [(7, 1000 + i) for i in range(300)]
+    ring = [(3000 + i, 3000 + (i + 1) % 20) for i in range(20)]
+    links = spark.createDataFrame(path + star + ring + [(5, 5), (7, 1000)], "a bigint, b bigint")
+    found = {r.node: r.root for r in smallest_reachable(links).collect()}
+    assert found == (
+        {i: 100 for i in range(101, 161)}
+        | {1000 + i: 7 for i in range(300)}
+        | {3000 + i: 3000 for i in range(1, 20)}
+    )
+    assert smallest_reachable(links.where("false")).collect() == []
+
+
+def test_all_documents(spark):
+    docs = helpers.documents(spark).select("doc_id", "text").collect()
+    points = np.array([_fingerprint(d.text) for d in docs], np.uint64)
+    roots = helpers.components(points, 4)
+    least = {}
+    for root, doc in zip(roots, docs):
+        least[root] = min(doc.doc_id, least.get(root, doc.doc_id))
+    rows = helpers.by_id(queries.queries()["op8_simhash"](spark, helpers.SF_DIR))
+    assert len(rows) == len(docs)
+    for doc, point, root in zip(docs, points.tolist(), roots):
+        row = rows[doc.doc_id]
+        assert (row.fingerprint, row.component_id) == (f"{point:016x}", least[root])

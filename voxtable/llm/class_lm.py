@@ -142,7 +142,8 @@ def exchange_gains(
     gain = (f(rest + after) - f(rest)).sum(axis=2) + (f(columns + before) - f(columns)).sum(axis=2)
     gain -= f(same + right) + f(same + left) - 2 * f(same)
     gain += f(same + right + left + itself[:, None]) - f(same)
-    out, into = rest.sum(axis=2), rest.sum(axis=1)
+    # Whichever class a word is in, it stays behind and before what it was behind and before.
+    out, into = rest.sum(axis=2) + left, rest.sum(axis=1) + right
     n_out, n_in = (right.sum(axis=1) + itself)[:, None], (left.sum(axis=1) + itself)[:, None]
     return gain - (f(out + n_out) - f(out)) - (f(into + n_in) - f(into))
 

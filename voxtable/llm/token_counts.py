@@ -144,7 +144,7 @@ def count_tokens(
         own = counter(vocabulary)
         for batch in batches:
             rows = []
-            for text in map(pa.Scalar.as_py, batch):  # one text and its counts at a time
+            for text in (scalar.as_py() for scalar in batch):  # one text's counts at a time
                 prefixes = PrefixCounts(own, text)
                 total, fit = prefixes.total, prefixes.chars_within(limit)
                 rows.append((len(text.encode()), total, total > limit, fit))
