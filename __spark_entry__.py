@@ -28,7 +28,7 @@ from voxtable.operators import (
     profile,
     tensors,
 )
-from voxtable.functions.scalars import slice_file_ids
+from voxtable.functions.scalars import numeric_columns, slice_file_ids
 from voxtable.plans import dataset, training
 from voxtable.schemas import SLICE_META
 from voxtable.sources import standins, tables
@@ -74,6 +74,52 @@ def _slice_file_ids(spark: SparkSession, sf: str) -> DataFrame:
     return files.select("path", volume_id.alias("volume_id"), slice_idx.alias("slice_idx"))
 
 
+def _raw_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The three raw tables written under their own header names, with more columns than are read."""
+    folder = tables.work_folder(spark)
+    headers = dict(zip(SLICE_META.names, tables.SLICE_META_HEADERS))
+    meta = standins.slice_meta(spark, sf).withColumnsRenamed(headers)
+    tables.write_csv(meta.select(F.lit("a, b").alias("path"), "*", F.lit(0.5)), f"{folder}/meta")
+    names = standins.nation_map(spark, sf).select(
+        F.lit('a "quoted"\nline').alias("note"), F.col("grade").alias("Grade"), F.col("subject_id").alias("Subject")
+    )
+    tables.write_csv(names, f"{folder}/names")
+    ages = standins.survival(spark, sf).select(
+        F.col("subject_id").alias("Subject"), F.lit(1).alias("Days"), F.col("age").alias("Age")
+    )
+    tables.write_csv(ages, f"{folder}/ages")
+    none = F.lit(None).cast("string")
+    slice_rows = tables.read_slice_meta(spark, f"{folder}/meta").select(
+        F.lit("slice").alias("kind"),
+        F.concat_ws(":", "volume_id", "slice").alias("key"),
+        F.concat_ws(":", "n0", "n1", "n2").alias("text"),
+        F.lit(None).cast("double").alias("number"),
+    )
+    name_rows = tables.read_name_map(spark, f"{folder}/names", "Subject").select(
+        F.lit("name"), "subject_id", "grade", F.lit(None).cast("double")
+    )
+    age_rows = tables.read_attribute(spark, f"{folder}/ages", "Subject").select(
+        F.lit("age"), "subject_id", none, "age"
+    )
+    return slice_rows.union(name_rows).union(age_rows)
+
+
+def _clean_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    folder = tables.work_folder(spark)
+    tables.write_csv(prepare.clean_features(_feature_table(spark, sf)), folder)
+    return tables.read_clean_table(spark, folder)
+
+
+def _single_file_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    folder = tables.work_folder(spark)
+    tables.write_csv(metadata.volume_slice_stats(standins.slice_meta(spark, sf)), folder, True)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    stats = tables.read_columns(
+        spark, folder, {"n_volumes": ("n_volumes", "bigint"), "mean_slices": ("mean_slices", "double")}
+    )
+    return stats.withColumn("n_files", files.agg(F.count("*")).scalar())
+
+
 def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     folder = tables.work_folder(spark)
     tables.write_csv(standins.slice_meta(spark, sf), folder)
@@ -95,7 +141,7 @@ def _with_attribute(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _imputed(spark: SparkSession, sf: str) -> DataFrame:
-    joined = tables.materialize(_with_attribute(spark, sf))
+    joined = _with_attribute(spark, sf)
     return enrich.impute_median(joined, "age").select("volume_id", "subject_id", "age")
 
 
@@ -109,6 +155,28 @@ def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _build_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Coverage and counts of the build, as (report, what, n)."""
+    found = dataset.build_reported(
+        standins.slice_meta(spark, sf),
+        standins.tensor_slices(spark, sf),
+        standins.subjects(spark, sf),
+        standins.survival(spark, sf),
+        id_pattern=r"#(\d+)$",
+    )
+    parts = [found["label_frequencies"].select(F.lit("label").alias("report"), F.col("grade").alias("what"), "n")]
+    for report in ("label_coverage", "attribute_coverage"):
+        for what in ("present", "missing", "total"):
+            parts.append(found[report].select(F.lit(report), F.lit(what), what))
+    parts.append(found["rows_without_volume"].select(F.lit("rows_without_volume"), "input", "n_rows"))
+    skipped = found["skipped_volumes"].agg(F.count("*"))
+    parts.append(skipped.select(F.lit("skipped_volumes"), F.lit("total"), "*"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.union(part)
+    return result
+
+
 def _skipped_volumes(spark: SparkSession, sf: str) -> DataFrame:
     slices = standins.tensor_slices(spark, sf)
     return dataset.skipped_volumes(standins.slice_meta(spark, sf), slices)
@@ -132,6 +200,25 @@ def _ranked(df: DataFrame) -> DataFrame:
     return evaluate.rank_importance(scores)
 
 
+MISSING_COLUMNS = ["doc_id", "n_chars", "quality", "toxic"]
+
+
+def _pearson_missing(df: DataFrame) -> DataFrame:
+    matrices = [
+        correlate.pearson_matrix(df, MISSING_COLUMNS, method, digits=4).withColumn("method", F.lit(method))
+        for method in ("listwise", "pairwise")
+    ]
+    return matrices[0].unionByName(matrices[1])
+
+
+def _label_corr_missing(df: DataFrame) -> DataFrame:
+    return correlate.feature_label_corr(df, ["doc_id", "n_chars", "toxic"], F.col("quality"))
+
+
+def _describe_by_dtype(df: DataFrame) -> DataFrame:
+    return profile.describe_numeric(df, numeric_columns(df, exclude=("doc_id",)))
+
+
 def _meta_matrix(meta: DataFrame) -> DataFrame:
     return correlate.pearson_matrix(metadata.volume_metadata(meta), META_COLUMNS, digits=4)
 
@@ -168,6 +255,62 @@ def _fitted(spark: SparkSession, sf: str, estimator):
         return estimator.fit(train), frame.where(F.col("split") == "test")
 
 
+def _exact_forest():
+    """Every tree sees every feature, so that each finds the one that is the label."""
+    return models.random_forest(numTrees=5, featureSubsetStrategy="all")
+
+
+def _exact_frame(spark: SparkSession, sf: str) -> DataFrame:
+    rows = standins.exact_training(spark, sf)
+    return training.training_frame(rows, "doc_id", standins.EXACT_FEATURES, F.col("label"))
+
+
+def _exact_scored(spark: SparkSession, sf: str, estimator) -> DataFrame:
+    frame = _exact_frame(spark, sf)
+    with tables.cached(frame.where(F.col("split") == "train")) as train:
+        model = estimator.fit(train)
+    return models.score_rows(model, frame.where(F.col("split") == "test"), "exact")
+
+
+def _exact_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.prediction_table(_exact_scored(spark, sf, _exact_forest()), "doc_id")
+
+
+def _exact_boosted(spark: SparkSession, sf: str) -> DataFrame:
+    scored = _exact_scored(spark, sf, models.boosted_trees(maxIter=3))
+    return evaluate.confusion_matrix(scored)
+
+
+def _exact_cv(spark: SparkSession, sf: str) -> DataFrame:
+    with tables.cached(_exact_frame(spark, sf).where(F.col("split") == "train")) as train:
+        return models.cv_scores(spark, {"exact": models.cross_validate(train, _exact_forest())})
+
+
+def _exact_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The deeper candidate wins: a tree without a split knows nothing."""
+    forest = _exact_forest()
+    grid = [{forest.maxDepth: 0}, {forest.maxDepth: 2}]
+    with tables.cached(_exact_frame(spark, sf).where(F.col("split") == "train")) as train:
+        found = models.cross_validate(train, forest, grid)
+    rows = [(i, float(score), i == found.best) for i, score in enumerate(found.scores)]
+    return spark.createDataFrame(rows, "candidate int, cv_auc double, best boolean")
+
+
+def _exact_importance(spark: SparkSession, sf: str) -> DataFrame:
+    frame = _exact_frame(spark, sf)
+    model = _exact_forest().fit(frame.where(F.col("split") == "train"))
+    return models.feature_importance(spark, model, standins.EXACT_FEATURES)
+
+
+def _prediction_totals(spark: SparkSession, sf: str) -> DataFrame:
+    total = F.round(F.col("prob_LGG") + F.col("prob_HGG"), 5).alias("total")
+    return _predictions(spark, sf).select("doc_id", "actual_label", total)
+
+
+def _importance_total(spark: SparkSession, sf: str) -> DataFrame:
+    return _importance(spark, sf).agg(F.round(F.sum("importance"), 6).alias("total"))
+
+
 def _importance(spark: SparkSession, sf: str) -> DataFrame:
     model, _ = _fitted(spark, sf, models.random_forest())
     weights = models.feature_importance(spark, model, standins.TRAINING_FEATURES)
@@ -185,8 +328,7 @@ def _model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     with training.train_and_compare(
         clean, "doc_id", "label", standins.TRAINING_FEATURES
     ) as results:
-        rows = results["model_comparison"].collect()  # five metrics for each of two models
-    return spark.createDataFrame(rows, "model string, metric string, value double")
+        return tables.materialize(results["model_comparison"])
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -209,6 +351,9 @@ def queries() -> dict[str, Query]:
         "volume_ids": _on(meta, metadata.volume_ids),
         "slice_file_ids": _slice_file_ids,
         "csv_roundtrip": _csv_roundtrip,
+        "raw_tables": _raw_tables,
+        "clean_roundtrip": lambda spark, sf: _rounded(_clean_roundtrip(spark, sf)),
+        "single_file_roundtrip": _single_file_roundtrip,
         "intensity_features": _on(slices, tensors.intensity_features),
         "intensity_features_wide": _on(slices, tensors.intensity_features_wide),
         "spatial_features": _on(slices, tensors.spatial_features),
@@ -220,7 +365,7 @@ def queries() -> dict[str, Query]:
         "active_pixels": _on(slices, tensors.active_pixels),
         "channel_overlap": _on(slices, tensors.channel_overlap),
         "channel_disjoint": _on(slices, tensors.channel_disjoint),
-        "tensor_shape_census": _on(slices, tensors.tensor_shape_census),
+        "tensor_shape_census": _on(standins.ragged_slices, tensors.tensor_shape_census),
         "attach_label": _labelled,
         "label_coverage": _on(_labelled, lambda df: enrich.coverage(df, "grade")),
         "label_frequencies": _on(_labelled, enrich.label_frequencies),
@@ -235,9 +380,12 @@ def queries() -> dict[str, Query]:
         "describe_numeric": _on(lines, lambda df: profile.describe_numeric(df, COLUMNS), stddev=4),
         "missing_counts": _on(documents, profile.missing_counts),
         "group_frequency": _on(lines, lambda df: profile.group_frequency(df, "l_returnflag")),
-        "group_stats": _on(lines, lambda df: profile.group_stats(df, "l_returnflag", COLUMNS[:4])),
+        "group_stats": _on(lines, lambda df: profile.group_stats(df, "l_returnflag", COLUMNS)),
         "pearson_matrix": _on(lines, lambda df: correlate.pearson_matrix(df, COLUMNS, digits=4)),
         "pearson_matrix_wide": _on(meta, _meta_matrix),
+        "pearson_missing": _on(documents, _pearson_missing),
+        "label_corr_missing": _on(documents, _label_corr_missing),
+        "describe_by_dtype": _on(documents, _describe_by_dtype, stddev=4),
         "feature_label_corr": _on(lines, _label_corr),
         "rank_importance": _on(lines, _ranked),
         "top_k": _on(lines, lambda df: evaluate.top_features(_ranked(df), 3)),
@@ -246,7 +394,11 @@ def queries() -> dict[str, Query]:
             standins.training, lambda df: prepare.class_distribution(_split(df))
         ),
         "assemble_report": _on(
-            documents, lambda df: prepare.assemble_report(df, ["n_chars", "quality", "toxic"])
+            documents, lambda df: prepare.assemble_report(df, ["n_chars", "toxic"], F.col("quality"))
+        ),
+        "build_reports": _build_reports,
+        "best_models": _on(
+            _two_models, lambda df: evaluate.best_models(_metrics_long(df), list(MODELS))
         ),
         "confusion_matrix": _on(standins.scored, evaluate.confusion_matrix),
         "class_metrics": _on(_two_models, lambda df: evaluate.class_metrics(df, ("model",))),
@@ -255,6 +407,13 @@ def queries() -> dict[str, Query]:
         "model_winner": _on(
             _two_models, lambda df: evaluate.model_winner(_metrics_long(df), *MODELS)
         ),
+        "exact_model_predictions": _exact_predictions,
+        "exact_model_boosted": _exact_boosted,
+        "exact_model_cv": _on(_exact_cv, lambda df: df),
+        "exact_model_grid": _on(_exact_grid, lambda df: df),
+        "exact_model_importance": _on(_exact_importance, lambda df: df),
+        "prediction_totals": _on(_prediction_totals, lambda df: df),
+        "importance_total": _on(_importance_total, lambda df: df),
         "rf_cv": _cross_validated(training.RANDOM_FOREST, models.random_forest),
         "gbt_cv": _cross_validated(training.BOOSTED_TREES, models.boosted_trees),
         "feature_importance": _importance,

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from itertools import product
 
-from voxtable.schemas import INTENSITY_STATS, MODALITIES, REDUNDANT_COLUMNS, feature_table_schema
+# Names are stated here once more, so that a wrong list in the library shows.
+MODALITIES = ("flair", "t1", "t1ce", "t2")
+INTENSITY_STATS = ("mean", "std", "min", "max", "skewness")
+REDUNDANT_COLUMNS = (
+    "voxels_ch0", "voxels_ch1", "voxels_ch2", "t2_max", "end_slice", "t1_max", "spread_x",
+    "spread_y", "t1_skewness", "tumour_slice_count", "start_slice",
+)
+FEATURE_COLUMNS = (
+    "volume_id", "voxels_ch0", "voxels_ch1", "voxels_ch2", "total_tumour_voxels", "ratio_ch0",
+    "ratio_ch1", "ratio_ch2", "tumour_slice_count", "start_slice", "end_slice", "flair_mean",
+    "flair_std", "flair_min", "flair_max", "flair_skewness", "t1_mean", "t1_std", "t1_min",
+    "t1_max", "t1_skewness", "t1ce_mean", "t1ce_std", "t1ce_min", "t1ce_max", "t1ce_skewness",
+    "t2_mean", "t2_std", "t2_min", "t2_max", "t2_skewness", "centroid_x", "centroid_y",
+    "centroid_slice", "spread_x", "spread_y", "spread_slice", "subject_id", "grade",
+)
 
 
 def _r(expression: str, digits: int = 6) -> str:
@@ -36,6 +50,7 @@ PIXELS = f"""
          {", ".join(f"embedding[pos * 4 + {c + 1}] > 0.25 AS a{c}" for c in range(3))}
   FROM embeddings, (SELECT unnest(range(16)) AS pos)"""
 ACTIVE = f"SELECT * FROM ({PIXELS}) WHERE a0 OR a1 OR a2"
+GRADED = "CASE WHEN v{c} > 0.4::FLOAT THEN '4' WHEN v{c} > 0.3::FLOAT THEN '2' WHEN v{c} > 0.25 THEN '1' ELSE '0' END"
 TENSOR_VOLUMES = "SELECT DISTINCT vec_id // 2 AS volume_id FROM embeddings"
 
 INTENSITY = f"""
@@ -97,15 +112,26 @@ SUBJECTS = """
 SURVIVAL = "SELECT c_name AS subject_id, c_acctbal AS age FROM customer WHERE c_mktsegment = 'BUILDING'"
 
 FEATURE_TABLE = f"""
-  SELECT {", ".join(c for c in feature_table_schema().names if c != "age")},
+  SELECT {", ".join(FEATURE_COLUMNS)},
          {_r("coalesce(age, median(age) OVER ())")} AS age
   FROM ({META_FEATURES}) JOIN ({INTENSITY_WIDE}) USING (volume_id) JOIN ({SPATIAL}) USING (volume_id)
   LEFT JOIN ({SUBJECTS}) USING (volume_id) LEFT JOIN ({SURVIVAL}) USING (subject_id)"""
 
+FEATURE_TABLE_IDS = f"""
+  SELECT volume_id, grade, age
+  FROM ({TENSOR_VOLUMES}) SEMI JOIN ({SLICE_META}) USING (volume_id)
+  LEFT JOIN ({SUBJECTS}) USING (volume_id) LEFT JOIN ({SURVIVAL}) USING (subject_id)"""
+
 DOCUMENT_LABELS = """
-  SELECT d.doc_id, lang, source, n_chars, quality, toxic
+  SELECT d.doc_id, text, lang, source, n_chars, quality, toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
+EXACT_SPLIT = """
+  SELECT doc_id, CAST(lang = 'en' AS INTEGER) AS label,
+         CASE WHEN CAST('0x' || substr(md5('42:' || doc_id), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+         CAST('0x' || substr(md5('42:' || doc_id), 9, 8) AS BIGINT) % 5 AS fold
+  FROM documents"""
+
 EDA_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
 
 
@@ -210,13 +236,12 @@ ORACLES: dict[str, str] = {
         FROM ({TENSOR_VOLUMES}) LEFT JOIN ({ACTIVE}) USING (volume_id) GROUP BY volume_id""",
     "all_features": ALL_FEATURES,
     "mask_values_per_slice": f"""
-        SELECT volume_id, slice_idx, string_agg(DISTINCT CAST(v AS VARCHAR), ',' ORDER BY CAST(v AS VARCHAR)) AS mask_values
-        FROM (SELECT volume_id, slice_idx, unnest([CAST(a0 AS INTEGER), CAST(a1 AS INTEGER), CAST(a2 AS INTEGER)]) AS v FROM ({PIXELS}))
+        SELECT volume_id, slice_idx, string_agg(DISTINCT v, ',' ORDER BY v) AS mask_values
+        FROM (SELECT volume_id, slice_idx, unnest([{", ".join(GRADED.format(c=c) for c in range(3))}]) AS v FROM ({PIXELS}))
         GROUP BY volume_id, slice_idx""",
     "mask_values_per_channel": " UNION ALL ".join(
-        f"""SELECT volume_id, slice_idx, {c} AS channel,
-                   string_agg(DISTINCT CAST(CAST(a{c} AS INTEGER) AS VARCHAR), ',' ORDER BY CAST(CAST(a{c} AS INTEGER) AS VARCHAR)) AS mask_values
-            FROM ({PIXELS}) GROUP BY volume_id, slice_idx"""
+        f"""SELECT volume_id, slice_idx, {c} AS channel, string_agg(DISTINCT v, ',' ORDER BY v) AS mask_values
+            FROM (SELECT volume_id, slice_idx, {GRADED.format(c=c)} AS v FROM ({PIXELS})) GROUP BY volume_id, slice_idx"""
         for c in range(3)
     ),
     "active_pixels": f"""
@@ -232,9 +257,10 @@ ORACLES: dict[str, str] = {
                      CAST(sum(CAST(a0 AS INTEGER) + CAST(a1 AS INTEGER) + CAST(a2 AS INTEGER)) AS BIGINT) AS sum_pixels
               FROM ({PIXELS}) GROUP BY volume_id)""",
     "tensor_shape_census": """
-        SELECT 4 AS h, 4 AS w, CAST(len(embedding) AS INTEGER) AS image_size,
-               CAST(len(embedding) // 4 * 3 AS INTEGER) AS mask_size, count(*) AS n_slices
-        FROM embeddings GROUP BY 3, 4""",
+        SELECT CASE WHEN vec_id % 3 = 0 THEN 2 ELSE 4 END AS h, 4 AS w,
+               CASE WHEN vec_id % 3 = 0 THEN 32 ELSE 64 END AS image_size,
+               CASE WHEN vec_id % 3 = 0 THEN 24 ELSE 48 END AS mask_size, count(*) AS n_slices
+        FROM embeddings GROUP BY 1, 3, 4""",
     "attach_label": NATION_LABELS,
     "label_coverage": f"""
         SELECT count(grade) AS present, count(*) - count(grade) AS missing, count(*) AS total
@@ -256,7 +282,9 @@ ORACLES: dict[str, str] = {
     "skipped_volumes": f"""
         SELECT DISTINCT volume_id FROM ({SLICE_META})
         WHERE volume_id NOT IN (SELECT volume_id FROM ({TENSOR_VOLUMES}))""",
-    "dataset_shape": "SELECT count(*) AS n_rows, 9 AS n_columns FROM lineitem",
+    "dataset_shape": """
+        SELECT count(*) AS n_rows,
+               (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE lineitem)) AS n_columns FROM lineitem""",
     "sample_rows": """
         SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem
         ORDER BY l_orderkey, l_linenumber, l_extendedprice LIMIT 5""",
@@ -268,7 +296,7 @@ ORACLES: dict[str, str] = {
     ),
     "missing_counts": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) - count({c}) AS missing FROM ({DOCUMENT_LABELS})"""
-        for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+        for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),
     "group_frequency": """
         SELECT l_returnflag, count(*) AS "count",
@@ -278,7 +306,7 @@ ORACLES: dict[str, str] = {
         SELECT l_returnflag, {", ".join(
             f"round({fn}({c}), 2) + 0.0 AS {s}_{c}"
             for (s, fn), c in product(
-                (("avg", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min")), EDA_COLUMNS[:4]))}
+                (("avg", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min")), EDA_COLUMNS))}
         FROM lineitem GROUP BY l_returnflag""",
     "pearson_matrix": _matrix(list(EDA_COLUMNS), "SELECT * FROM lineitem", 4),
     "pearson_matrix_wide": _matrix(META_COLUMNS, "SELECT * FROM meta", 4),
@@ -292,8 +320,72 @@ ORACLES: dict[str, str] = {
     "assemble_report": f"""
         SELECT count(*) FILTER (WHERE n_chars IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL) AS kept,
                count(*) FILTER (WHERE n_chars IS NULL OR quality IS NULL OR toxic IS NULL) AS dropped,
+               count(*) FILTER (WHERE quality IS NULL) AS without_label,
+               count(*) FILTER (WHERE quality IS NOT NULL AND (n_chars IS NULL OR toxic IS NULL)) AS without_feature,
                count(*) AS total
         FROM ({DOCUMENT_LABELS})""",
+    "pearson_missing": " UNION ALL ".join(
+        f"SELECT *, '{method}' AS method FROM ({_matrix(['doc_id', 'n_chars', 'quality', 'toxic'], rows, 4)})"
+        for method, rows in (
+            ("listwise", f"SELECT * FROM ({DOCUMENT_LABELS}) WHERE quality IS NOT NULL AND toxic IS NOT NULL"),
+            ("pairwise", f"SELECT * FROM ({DOCUMENT_LABELS})"),
+        )
+    ),
+    "label_corr_missing": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {_r(f'corr({c}, quality)', 4)} AS corr, abs({_r(f'corr({c}, quality)', 4)}) AS abs_corr FROM ({DOCUMENT_LABELS})"
+        for c in ("doc_id", "n_chars", "toxic")
+    ),
+    "describe_by_dtype": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", {_r(f"avg({c})")} AS mean,
+                   {_r(f"stddev_samp({c})", 4)} AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max
+            FROM ({DOCUMENT_LABELS})"""
+        for c in ("n_chars", "quality", "toxic")
+    ),
+    "raw_tables": f"""
+        SELECT 'slice' AS kind, volume_id || ':' || slice AS key, n0 || ':' || n1 || ':' || n2 AS text,
+               CAST(NULL AS DOUBLE) AS number FROM ({SLICE_META})
+        UNION ALL SELECT 'name', n_name, r_name, NULL FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey < 4
+        UNION ALL SELECT 'age', subject_id, NULL, age FROM ({SURVIVAL})""",
+    "single_file_roundtrip": """
+        SELECT count(*) AS n_volumes, round(avg(n), 1) AS mean_slices, CAST(1 AS BIGINT) AS n_files
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)""",
+    "exact_model_predictions": f"""
+        SELECT doc_id, CASE WHEN label = 1 THEN 'HGG' ELSE 'LGG' END AS actual_label,
+               CASE WHEN label = 1 THEN 'HGG' ELSE 'LGG' END AS predicted_label,
+               CAST(1 - label AS DOUBLE) AS "prob_LGG", CAST(label AS DOUBLE) AS "prob_HGG"
+        FROM ({EXACT_SPLIT}) WHERE split = 'test'""",
+    "exact_model_boosted": " UNION ALL ".join(
+        f"""SELECT '{an}' AS actual, '{pn}' AS predicted, count(*) FILTER (WHERE label = {a} AND {a} = {p}) AS "count"
+            FROM ({EXACT_SPLIT}) WHERE split = 'test'"""
+        for (a, an), (p, pn) in product(enumerate(("LGG", "HGG")), repeat=2)
+    ),
+    "exact_model_cv": f"""
+        SELECT 'exact' AS model, CAST(1.0 AS DOUBLE) AS cv_auc, CAST(count(*) AS INTEGER) AS folds_scored
+        FROM (SELECT fold FROM ({EXACT_SPLIT}) WHERE split = 'train' GROUP BY fold HAVING count(DISTINCT label) = 2)""",
+    "exact_model_grid": "SELECT * FROM (VALUES (0, 0.5::DOUBLE, false), (1, 1.0::DOUBLE, true)) t(candidate, cv_auc, best)",
+    "exact_model_importance": """
+        SELECT * FROM (VALUES (0, 'n_chars', 0.0::DOUBLE), (1, 'is_english', 1.0::DOUBLE),
+                              (2, 'source_number', 0.0::DOUBLE)) t(position, feature, importance)""",
+    "prediction_totals": f"""
+        SELECT doc_id, CASE WHEN label = 1 THEN 'HGG' ELSE 'LGG' END AS actual_label, CAST(1.0 AS DOUBLE) AS total
+        FROM ({SPLIT}) WHERE split = 'test'""",
+    "importance_total": "SELECT CAST(1.0 AS DOUBLE) AS total",
+    "best_models": f"""
+        SELECT metric, arg_max(model, value + CASE WHEN model = 'value > 100' THEN 1e-12 ELSE 0 END) AS winner, max(value) AS value
+        FROM ({METRICS_LONG}) GROUP BY metric""",
+    "build_reports": f"""
+        WITH known AS (SELECT * FROM ({FEATURE_TABLE_IDS}))
+        SELECT 'label' AS report, grade AS what, count(*) AS n FROM known WHERE grade IS NOT NULL GROUP BY grade
+        UNION ALL SELECT 'label_coverage', 'present', count(grade) FROM known
+        UNION ALL SELECT 'label_coverage', 'missing', count(*) - count(grade) FROM known
+        UNION ALL SELECT 'label_coverage', 'total', count(*) FROM known
+        UNION ALL SELECT 'attribute_coverage', 'present', count(age) FROM known
+        UNION ALL SELECT 'attribute_coverage', 'missing', count(*) - count(age) FROM known
+        UNION ALL SELECT 'attribute_coverage', 'total', count(*) FROM known
+        UNION ALL SELECT 'rows_without_volume', 'slice_meta', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
+        UNION ALL SELECT 'rows_without_volume', 'tensor_slices', count(*) FILTER (WHERE vec_id IS NULL) FROM embeddings
+        UNION ALL SELECT 'skipped_volumes', 'total', count(DISTINCT volume_id) FROM ({SLICE_META})
+          WHERE volume_id NOT IN (SELECT volume_id FROM ({TENSOR_VOLUMES}))""",
     "confusion_matrix": " UNION ALL ".join(
         f"""SELECT '{an}' AS actual, '{pn}' AS predicted,
                    count(*) FILTER (WHERE label = {a} AND prediction = {p}) AS "count" FROM ({ONE_MODEL})"""
@@ -311,4 +403,5 @@ ORACLES: dict[str, str] = {
                      max(value) FILTER (WHERE model = 'value > 50') AS second_value
               FROM ({METRICS_LONG}) GROUP BY metric)""",
 }
+ORACLES["clean_roundtrip"] = ORACLES["clean_features"]
 ORACLES["pearson_matrix_wide"] = f"WITH meta AS ({META_FEATURES}) {ORACLES['pearson_matrix_wide']}"

@@ -66,3 +66,31 @@ def test_buckets_follow_the_order(spark):
     rows = ordered.with_bucket(df, "v", splits).orderBy("v").collect()
     assert [r.bucket for r in rows] == sorted(r.bucket for r in rows)
     assert ordered.with_bucket(df, "v", []).select("bucket").distinct().count() == 1
+
+
+@pytest.mark.parametrize(
+    "rows, message",
+    [
+        ([(0.1, 0.0), (None, 1.0)], "missing score"),
+        ([(0.1, 0.0), (float("nan"), 1.0)], "missing score"),
+        ([(0.1, 0.0), (0.2, 2.0)], "label other than 0 and 1"),
+        ([(0.1, 0.0), (0.2, None)], "label other than 0 and 1"),
+    ],
+)
+def test_the_area_refuses_bad_rows(spark, rows, message):
+    scored = spark.createDataFrame(rows, "score double, label double")
+    with pytest.raises(Exception, match=message):
+        ordered.area_under_roc(scored).collect()
+
+
+def test_median_of_many_rows_without_a_window_over_them(spark):
+    rng = np.random.default_rng(6)
+    values = np.round(rng.normal(0, 1, 20_001), 3)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for accuracy in (2, 100, 10_000):
+        median = ordered.exact_median(df, "v", accuracy)
+        assert median.first()[0] == float(np.median(values))
+        plan = median._jdf.queryExecution().optimizedPlan().toString()
+        for line in plan.split("\n"):
+            if "Window [" in line and "value#" in line:
+                assert "[bucket#" in line

@@ -48,6 +48,79 @@ def test_feature_table(raw, features):
     assert [r.volume_id for r in dataset.skipped_volumes(raw[0], raw[1]).collect()] == [200]
 
 
+def test_reports_of_the_build(raw):
+    found = dataset.build_reported(*raw)
+    assert tuple(found["label_coverage"].first()) == (118, 2, 120)
+    assert tuple(found["attribute_coverage"].first()) == (50, 70, 120)
+    assert {r.grade: r.n for r in found["label_frequencies"].collect()} == {"HGG": 60, "LGG": 58}
+    assert [r.volume_id for r in found["skipped_volumes"].collect()] == [200]
+    assert [r.n_rows for r in found["rows_without_volume"].collect()] == [0, 0]
+
+
+def test_switches_of_the_build(raw):
+    meta, slices, names, ages = raw
+    first = dataset.build_feature_table(*raw, fit_where=F.col("volume_id") <= 9)
+    assert first.where("volume_id = 2").first().age == 5.0  # the median of 1, 3, 5, 7, 9
+    odd = names.union(names.sparkSession.createDataFrame([("nobody", "HGG")], names.schema))
+    assert dataset.build_feature_table(meta, slices, odd, ages, strict=False).count() == 120
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        dataset.build_feature_table(meta, slices, odd, ages).collect()
+
+
+def test_explore_another_table(spark):
+    rows = [(i, "yes" if i % 2 else None, float(i), float(i * i)) for i in range(20)]
+    other = spark.createDataFrame(rows, "id int, answer string, a double, b double")
+    with eda.explore(
+        other, "id", "answer", "yes", "zero", sample=None, summary=None, per_class=None, drop=()
+    ) as results:
+        got = {name: df.collect() for name, df in results.items()}
+    assert {r.column for r in got["summary"]} == {"a", "b"}
+    assert sorted(r.answer for r in got["clean"]) == [0] * 10 + [1] * 10
+    assert len(got["sample"][0]) == 4 and len(got["class_stats"]) == 2
+
+
+def test_the_median_needs_no_window_over_all_rows(raw):
+    plan = dataset.build_feature_table(*raw)._jdf.queryExecution().optimizedPlan().toString()
+    for window in [line for line in plan.split("\n") if "Window [" in line]:
+        # Unpartitioned windows run over one row for each range or bucket.
+        assert "value#" not in window or "bucket#" in window
+
+
+def test_three_models_with_a_grid(blobs):
+    forests = {f"forest {n}": models.random_forest(numTrees=n, maxDepth=2) for n in (1, 2, 3)}
+    depth = forests["forest 2"].maxDepth
+    rows = blobs.withColumn("c", F.when(F.col("id") > 9, F.col("c"))).withColumn(
+        "y", F.when(F.col("id") != 20, F.col("y"))
+    )
+    with training.train_and_compare(
+        rows, "id", "y", ["a", "b", "c"], forests, grids={"forest 2": [{depth: 1}, {depth: 3}]}
+    ) as found:
+        winners = {r.metric: r.winner for r in found["model_winner"].collect()}
+        assert set(winners) == set(evaluate.METRICS) and set(winners.values()) <= set(forests)
+        dropped = found["dropped_rows"].first()
+        assert (dropped.without_label, dropped.without_feature, dropped.kept) == (1, 10, 289)
+        assert {r.folds_scored for r in found["cv_scores"].collect()} == {5}
+
+
+def test_folds_of_one_class_are_not_scored(blobs):
+    frame = training.training_frame(blobs, "id", ["a", "b", "c"], F.col("y"))
+    one_sided = frame.withColumn("label", F.when(F.col("fold") == 2, 1.0).otherwise(F.col("label")))
+    forest = models.random_forest(numTrees=2, maxDepth=2)
+    with tables.cached(one_sided) as train:
+        found = models.cross_validate(train, forest)
+        assert found.folds_scored == 4 and 0.5 < found.best_score < 1
+    with tables.cached(frame.withColumn("label", F.lit(1.0))) as train:
+        nothing = models.cross_validate(train, forest)
+    scores = models.cv_scores(blobs.sparkSession, {"none": nothing}).first()
+    assert (scores.cv_auc, scores.folds_scored) == (None, 0)
+
+
+def test_rows_without_a_key_are_refused(blobs):
+    rows = blobs.withColumn("id", F.when(F.col("id") > 0, F.col("id")))
+    with pytest.raises(Exception, match="row without a key"):
+        prepare.hash_split(rows, "id").collect()
+
+
 def test_feature_table_goes_through_csv(features, spark, tmp_path):
     tables.write_csv(features, str(tmp_path / "f"))
     again = tables.read_feature_table(spark, str(tmp_path / "f"))
@@ -101,11 +174,15 @@ def test_train_and_compare(results, features, spark, tmp_path):
         "model_winner",
         "class_distribution",
         "confusion_matrices",
+        "dropped_rows",
         "random_forest_feature_importance",
         "random_forest_predictions",
         "gbt_feature_importance",
         "gbt_predictions",
     }
+    dropped = results["dropped_rows"].first()
+    assert (dropped.without_label, dropped.total) == (2, 120)
+    assert dropped.kept == dropped.total - dropped.dropped
     predictions = spark.read.csv(str(tmp_path / "gbt_predictions"), header=True)
     assert predictions.columns == ["volume_id", "actual_label", "predicted_label", "prob_LGG", "prob_HGG"]
 

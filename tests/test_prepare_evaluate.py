@@ -92,7 +92,8 @@ def test_assemble_drops_missing_rows_and_reports_them(spark):
     df = spark.createDataFrame(rows, "id long, x double, y int, label int")
     kept = prepare.assemble(df, ["x", "y"], F.col("label"), carry=("id",)).collect()
     assert [(r.id, r.features.toArray().tolist(), r.label) for r in kept] == [(1, [1.0, 2.0], 1.0)]
-    assert prepare.assemble_report(df, ["x", "y"]).head() == (2, 2, 4)
+    assert tuple(prepare.assemble_report(df, ["x", "y"]).head()) == (2, 2, 0, 2, 4)
+    assert tuple(prepare.assemble_report(df, ["x", "y"], F.col("label")).head()) == (1, 3, 1, 2, 4)
 
 
 def test_clean_features(spark):

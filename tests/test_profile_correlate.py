@@ -76,19 +76,45 @@ def test_pairwise_matrix(mixed):
     assert got["x", "y"] == pytest.approx(np.corrcoef(both)[0, 1])
 
 
-def test_vector_and_aggregate_paths_agree(spark, monkeypatch):
+def _frame(spark, data, width):
+    names = [f"c{i}" for i in range(width)]
+    rows = [tuple(line[i % len(line)] for i in range(width)) for line in data]
+    return spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)), names
+
+
+@pytest.mark.parametrize("method", ["listwise", "pairwise"])
+@pytest.mark.parametrize("width", [2, 6, 7, 37])
+def test_the_number_of_columns_changes_no_cell(spark, width, method):
+    """The same two columns over and over, so every cell is known from the first ones."""
     rng = np.random.default_rng(3)
-    data = rng.normal(1e3, 1, (200, 5))
-    data[:, 3] = 2.5
-    data[:20, 0] = NAN
-    columns = [f"c{i}" for i in range(5)]
-    df = spark.createDataFrame(data.tolist(), ", ".join(f"{c} double" for c in columns))
-    one = cells(correlate.pearson_matrix(df, columns, digits=9))
-    monkeypatch.setattr(correlate, "MAX_PAIRWISE_COLUMNS", 0)
-    two = cells(correlate.pearson_matrix(df, columns, digits=9))
-    assert one.keys() == two.keys()
-    for cell, r in one.items():
-        assert two[cell] == (None if r is None else pytest.approx(r, abs=1e-8))
+    x = rng.normal(1e3, 1, 60)
+    y = x * 0.5 + rng.normal(0, 1, 60)
+    inputs = {
+        "some": (np.stack([x, y], 1).tolist(), np.corrcoef(x, y)[0, 1]),
+        "tiny": (np.stack([x * 1e-13, y * 1e-13], 1).tolist(), np.corrcoef(x, y)[0, 1]),
+        "constant": ([(2.5, v) for v in y.tolist()], None),
+        "one row": ([(1.0, 2.0)], None),
+        "empty": ([], None),
+    }
+    for name, (data, expected) in inputs.items():
+        df, names = _frame(spark, data, width)
+        got = cells(correlate.pearson_matrix(df, names, method, digits=None))
+        assert len(got) == width * width, name
+        assert all(got[c, c] == 1.0 for c in names)
+        same = got["c0", "c1"]
+        assert same == (None if expected is None else pytest.approx(expected, abs=1e-9)), name
+        assert all(
+            got[a, b] == (None if same is None else pytest.approx(same, abs=1e-9))
+            for i, a in enumerate(names) for j, b in enumerate(names) if i % 2 != j % 2
+        )
+
+
+def test_pairs_that_are_constant_where_both_are_present(spark):
+    rows = [(1.0, 5.0, None), (2.0, 5.0, None), (3.0, 6.0, 1.0), (3.0, None, 2.0), (None, 7.0, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = cells(correlate.pearson_matrix(df, ["a", "b", "c"], "pairwise", digits=None))
+    assert got["a", "c"] is None  # a is 3 wherever c is present
+    assert got["a", "b"] == pytest.approx(np.corrcoef([1, 2, 3], [5, 5, 6])[0, 1])
 
 
 def test_feature_label_corr_is_pairwise_and_ranked(mixed):

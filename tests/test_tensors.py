@@ -187,3 +187,22 @@ def test_spatial_features_do_not_read_the_image(stored):
 def test_all_features_take_one_scan_and_one_shuffle(stored):
     plan = plan_of(tensors.volume_features(stored))
     assert plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("image", [None, [1.0] * 20])
+def test_images_of_the_wrong_size_are_refused(spark, image):
+    rows = [(1, 0, 2, 2, image, [1] * 12)]
+    slices = spark.createDataFrame(rows, TENSOR_SLICES)
+    with pytest.raises(Exception, match="image size differs"):
+        tensors.intensity_features(slices).collect()
+    assert tensors.spatial_features(slices).first().centroid_x == 0.5  # does not read the image
+    assert tensors.slice_extent(slices).first().tumour_slice_count == 1
+
+
+def test_slices_without_a_volume_are_left_out(spark):
+    rows = [(None, 0, 1, 1, [1.0] * 4, [1] * 3), (7, 0, 1, 1, [1.0] * 4, [2, 0, 4])]
+    slices = spark.createDataFrame(rows, TENSOR_SLICES)
+    found = tensors.volume_features(slices).collect()
+    assert [(r.volume_id, r.total_tumour_voxels, r.voxels_ch0) for r in found] == [(7, 1, 1)]
+    values = tensors.mask_values_per_slice(slices).where("volume_id = 7").first().mask_values
+    assert values == "0,2,4"

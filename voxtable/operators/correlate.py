@@ -1,17 +1,15 @@
-"""Pearson correlations, all of them in one pass over the table."""
+"""Pearson correlations between columns, and of columns with a label."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtable.functions.scalars import all_present, by_column, is_missing
-from voxtable.sources.tables import cached
-
-# Up to here rows of pairs beat vectors; the number of pairs grows with the square.
-MAX_PAIRWISE_COLUMNS = 6
 
 
 def _pearson() -> Column:
@@ -35,38 +33,86 @@ def pearson_matrix(
     """Correlation matrix in long form ``(feature_a, feature_b, corr)``, every cell.
 
     ``listwise`` drops a row with any missing cell; ``pairwise`` uses every row in which both
-    columns are present. Cells of a constant column are NULL, the diagonal is 1.
+    columns are present. Cells with fewer than two rows or a constant column are NULL, the
+    diagonal is 1.
+
+    Two scans and one path for any number of columns. The first takes mean, deviation and range of
+    every column; the second adds up the products of standardised values, a batch of rows at a
+    time. A task hands over one row for each pair of columns, whatever its number of rows.
     """
     if method not in ("listwise", "pairwise"):
         raise ValueError(f"method must be 'listwise' or 'pairwise', not {method!r}")
     if method == "listwise":
         df = df.where(all_present(df, columns))
-    by_vectors = method == "listwise" and len(columns) > MAX_PAIRWISE_COLUMNS
-    cells = _matrix_by_vectors(df, columns) if by_vectors else _matrix_by_pairs(df, columns)
+    cells = _cells(_pair_sums(df, columns), columns)
     return cells if digits is None else cells.withColumn("corr", F.round("corr", digits))
 
 
-def _matrix_by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of pairs, grouped; partial aggregation leaves one row per pair and task.
+def _standardised(df: DataFrame, columns: list[str]) -> Column:
+    """Values as one array, less the mean and in units of the deviation; a constant is all zero."""
+    values = {c: _present(df, c) for c in columns}
+    x = F.col("x")
+    found = by_column(
+        df, values, [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.max(x) - F.min(x)).alias("range")]
+    )
+    stats = {r["column"]: r for r in found.collect()}  # one row for each column
+
+    def scaled(name: str) -> Column:
+        mean, std = stats[name]["mean"] or 0.0, stats[name]["std"]
+        varies = bool(std) and stats[name]["range"] > 0
+        return (values[name] - F.lit(mean)) / F.lit(std) if varies else values[name] * 0.0
+
+    return F.array(*[scaled(c) for c in columns])
+
+
+PAIR_SUMS = ("n", "x", "y", "xx", "yy", "xy")
+
+
+def _pair_sums(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(a, b, n, x, y, xx, yy, xy)`` for every pair of column positions ``a < b``: sums over the
+    rows in which both are present."""
+    size = len(columns)
+    first, second = np.triu_indices(size, 1)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(PAIR_SUMS), size, size))
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            z = flat.astype(np.float64).reshape(-1, size)
+            there = (~np.isnan(z)).astype(np.float64)
+            z = np.where(np.isnan(z), 0.0, z)
+            squares = z * z
+            total[0] += there.T @ there
+            total[1] += z.T @ there
+            total[2] += there.T @ z
+            total[3] += squares.T @ there
+            total[4] += there.T @ squares
+            total[5] += z.T @ z
+        sums = [pa.array(total[i][first, second]) for i in range(len(PAIR_SUMS))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(first, pa.int32()), pa.array(second, pa.int32()), *sums], ["a", "b", *PAIR_SUMS]
+        )
 
-    Pairs are generated as positions into an array of the row's values, which keeps the generated
-    code the same size for any number of columns.
-    """
-    n = len(columns)
+    schema = "a int, b int, " + ", ".join(f"{c} double" for c in PAIR_SUMS)
+    partial = df.select(_standardised(df, columns).alias("z")).mapInArrow(add_up, schema)
+    return partial.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in PAIR_SUMS])
 
-    def positions(first_after: int) -> Column:
-        places = [(i, j) for i in range(n) for j in range(i + first_after, n)]
-        return F.inline(
-            F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i, j in places])
-        )
 
-    values = F.array(*[_present(df, c) for c in columns]).alias("values")
-    pairs = df.select(values, positions(1)).select(
-        "a", "b", F.get("values", F.col("a")).alias("x"), F.get("values", F.col("b")).alias("y")
-    )
-    found = pairs.groupBy("a", "b").agg(_pearson())
-    upper = df.sparkSession.range(1).select(positions(0)).join(found, ["a", "b"], "left")
+def _cells(sums: DataFrame, columns: list[str]) -> DataFrame:
+    """All cells of the matrix out of the sums above its diagonal."""
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    spread = {c: F.col(c + c) - F.col(c) * F.col(c) / n for c in ("x", "y")}
+    # What is left by rounding of a column that is constant in the rows of the pair.
+    noise = {c: 1e-13 * F.col(c + c) for c in ("x", "y")}
+    varies = (F.col("n") > 1) & (spread["x"] > noise["x"]) & (spread["y"] > noise["y"])
+    raw = (F.col("xy") - F.col("x") * F.col("y") / n) / F.sqrt(spread["x"] * spread["y"])
+    found = sums.select("a", "b", F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))).alias("corr"))
 
+    places = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    upper = F.inline(
+        F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i, j in places])
+    )
+    upper = sums.sparkSession.range(1).select(upper).join(found, ["a", "b"], "left")
     name = F.array(*[F.lit(c) for c in columns])
     one = F.col("a") == F.col("b")
     here, mirrored = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -79,22 +125,6 @@ def _matrix_by_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _matrix_by_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
-    """MLlib's Gramian, two passes over the kept vectors: one for the means, one for the products.
-
-    Only the matrix, columns x columns, comes to the driver.
-    """
-    assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
-    with cached(assembler.transform(df).select("features")) as vectors:
-        matrix = Correlation.corr(vectors, "features").head()[0]
-    cells = [
-        (a, b, None if r != r else float(r))
-        for a, line in zip(columns, matrix.toArray())
-        for b, r in zip(columns, line)
-    ]
-    return df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, corr double")
-
-
 def feature_label_corr(
     df: DataFrame, columns: list[str], label: Column, digits: int | None = 4
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from voxtable.functions.scalars import decode_label, long_rows
 from voxtable.operators.ordered import area_under_roc
 from voxtable.schemas import CLASS_NAMES
 
+# The published metric names.
 METRICS = ("accuracy", "auc", "precision", "recall", "f1")
 
 
@@ -121,6 +122,17 @@ def model_winner(metrics: DataFrame, first: str, second: str) -> DataFrame:
     return sides.withColumn("winner", winner)
 
 
+def best_models(metrics: DataFrame, models: list[str]) -> DataFrame:
+    """The best of any number of models by each metric, ``(metric, winner, value)``.
+
+    A tie goes to the model that is named first; models that are not named do not count.
+    """
+    place = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("model"))
+    best = F.max(F.struct(F.col("value"), (-place).alias("order"), F.col("model")))
+    found = metrics.where(F.col("model").isin(models)).groupBy("metric").agg(best.alias("best"))
+    return found.select("metric", F.col("best.model").alias("winner"), F.col("best.value").alias("value"))
+
+
 def rank_importance(scores: DataFrame, score: str = "importance") -> DataFrame:
     """Rank 1..n by descending score, equal scores in feature order.
 

@@ -49,6 +49,12 @@ def missing_volumes(volumes: DataFrame, slices: DataFrame) -> DataFrame:
     return volumes.join(present, "volume_id", "left_anti")
 
 
+def volume_ids_of_both(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Distinct ids of the volumes that have slices in both tables; NULL is no id."""
+    ids = [df.select("volume_id").distinct() for df in (first, second)]
+    return ids[0].join(ids[1], "volume_id", "left_semi")
+
+
 def slices_per_volume(slices: DataFrame) -> DataFrame:
     return slices.groupBy("volume_id").agg(F.count("*").alias("n_slices"))
 

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def random_forest(**params) -> RandomForestClassifier:
     """20 trees of depth 5 unless overridden (H3)."""
     return RandomForestClassifier(**{"numTrees": 20, "maxDepth": 5, "seed": 42, **params})
@@ -45,14 +44,18 @@ def auc_evaluator() -> BinaryClassificationEvaluator:
 
 @dataclass
 class CrossValidated:
-    """Best parameters refitted on all training rows, and the mean score of every candidate."""
+    """Best parameters refitted on all training rows, and the mean score of every candidate.
+
+    Scores are None where no fold could be scored.
+    """
 
     model: Model
-    scores: list[float]
+    scores: list[float | None]
     best: int
+    folds_scored: int
 
     @property
-    def best_score(self) -> float:
+    def best_score(self) -> float | None:
         return self.scores[self.best]
 
 
@@ -68,11 +71,15 @@ def cross_validate(
     Folds are filters on a hashed column, which stays in the JVM. Tree training is a long chain
     of short jobs, so up to ``parallelism`` fits submit theirs at the same time; without a choice
     between candidates the refit is one of them. ``train`` should be persisted. An empty grid is
-    plain cross-validation.
+    plain cross-validation. A fold of one class has no area under the curve: it is left out of the
+    mean, and ``folds_scored`` tells how many were not.
     """
     evaluator = evaluator or auc_evaluator()
     grid = grid or [{}]
-    folds = sorted(row.fold for row in train.select("fold").distinct().collect())
+    classes = F.count_distinct("label").alias("classes")
+    folds = sorted(
+        row.fold for row in train.groupBy("fold").agg(classes).collect() if row.classes > 1
+    )
 
     def score(params: dict, fold: int) -> float:
         model = estimator.fit(train.where(F.col("fold") != fold), params)
@@ -83,23 +90,28 @@ def cross_validate(
         refit = with_session(estimator.fit)
         only = pool.apply_async(refit, (train, grid[0])) if len(grid) == 1 else None
         runs = [[pool.apply_async(with_session(score), (p, f)) for f in folds] for p in grid]
-        scores = [sum(run.get() for run in of_candidate) / len(folds) for of_candidate in runs]
+        found = [[run.get() for run in of_candidate] for of_candidate in runs]
+        scores = [sum(f) / len(f) if f else None for f in found]
         pick = max if evaluator.isLargerBetter() else min
-        best = scores.index(pick(scores))
+        best = scores.index(pick(scores)) if folds else 0
         model = only.get() if only else estimator.fit(train, grid[best])
-    return CrossValidated(model, scores, best)
+    return CrossValidated(model, scores, best, len(folds))
 
 
 def cross_validate_all(
-    train: DataFrame, estimators: dict[str, Estimator], parallelism: int = 6
+    train: DataFrame,
+    estimators: dict[str, Estimator],
+    parallelism: int = 6,
+    grids: dict[str, list[dict]] | None = None,
 ) -> dict[str, CrossValidated]:
-    """Cross-validate several models side by side on the same rows."""
+    """Cross-validate several models side by side on the same rows, each over its own grid (H6)."""
+    grids = grids or {}
 
-    def one(estimator: Estimator) -> CrossValidated:
-        return cross_validate(train, estimator, parallelism=parallelism)
+    def one(name: str) -> CrossValidated:
+        return cross_validate(train, estimators[name], grids.get(name), parallelism=parallelism)
 
     with ThreadPool(len(estimators)) as pool:
-        results = pool.map(inheritable_thread_target(train.sparkSession)(one), estimators.values())
+        results = pool.map(inheritable_thread_target(train.sparkSession)(one), estimators)
     return dict(zip(estimators, results))
 
 
@@ -120,6 +132,6 @@ def feature_importance(spark: SparkSession, model: Model, features: list[str]) -
 
 
 def cv_scores(spark: SparkSession, results: dict[str, CrossValidated]) -> DataFrame:
-    """Best cross-validation score per model (H7)."""
-    rows = [(name, float(r.best_score)) for name, r in results.items()]
-    return spark.createDataFrame(rows, "model string, cv_auc double")
+    """Best cross-validation score per model, and the folds that it is a mean of (H7)."""
+    rows = [(name, r.best_score, r.folds_scored) for name, r in results.items()]
+    return spark.createDataFrame(rows, "model string, cv_auc double, folds_scored int")

@@ -18,13 +18,13 @@ from voxtable.functions.scalars import is_missing
 def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
     """Median of the present values, mean of the two middle ones; one row ``median``.
 
-    Three passes over one column: a quantile sketch, which is off by at most 1 / ``accuracy`` of
-    the rows, gives two cuts closely around the middle; the rows below, between and above are
-    counted; the range that holds the middle ranks is sorted. That is some five rows in
-    ``accuracy``, with equal values counted before they are sorted.
+    A quantile sketch, which is off by at most 1 / ``accuracy`` of the rows, gives two cuts closely
+    around the middle; the rows below, between and above are counted; the range that holds the
+    middle ranks, some five rows in ``accuracy``, is counted by value, cut at its own quantiles,
+    and ranked in as many tasks as there are shuffle partitions. Runs one job to cut the range.
     """
     values = df.where(~is_missing(df, column)).select(F.col(column).cast("double").alias("value"))
-    near = [0.5 - 1.5 / accuracy, 0.5 + 1.5 / accuracy]
+    near = [max(0.0, 0.5 - 1.5 / accuracy), min(1.0, 0.5 + 1.5 / accuracy)]
     cuts = values.agg(F.percentile_approx("value", near, accuracy)).scalar()
     above = [(F.col("value") >= cuts[0]).cast("int"), (F.col("value") > cuts[1]).cast("int")]
     ranges = values.withColumn("range", above[0] + above[1])
@@ -56,8 +56,16 @@ def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFram
         .groupBy("value")
         .agg(F.count("*").alias("n"))
     )
-    end = middle["before"] + F.sum("n").over(Window.orderBy("value"))
-    ranked = counts.select("value", "n", end.alias("end"), middle["size"].alias("size"))
+    # The middle range is dealt to as many tasks as there are shuffle partitions; each ranks its
+    # own values, and the totals of the buckets, one row each, are summed up before.
+    bucketed = with_bucket(counts, "value", range_splits(counts, "value"))
+    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("total"))
+    running = F.sum("total").over(Window.orderBy("bucket"))
+    starts = totals.select("bucket", (running - F.col("total")).alias("start"))
+    inside = F.sum("n").over(Window.partitionBy("bucket").orderBy("value"))
+    ranked = bucketed.withColumn("inside", inside).join(starts, "bucket")
+    end = middle["before"] + F.col("start") + F.col("inside")
+    ranked = ranked.select("value", "n", end.alias("end"), middle["size"].alias("size"))
 
     def at(rank):
         here = (F.col("end") - F.col("n") <= rank) & (F.col("end") > rank)
@@ -99,10 +107,16 @@ def area_under_roc(
     The share of (positive, negative) pairs that the score puts in order, ties counting one half.
     Rows are counted per score first: a score shared by a third of the rows is one row. The
     running count of negatives is a window inside each bucket plus the total of the buckets below.
-    NULL if one class is absent; a missing score is an error.
+    NULL if one class is absent. A missing score and a label other than 0 and 1 are errors, so
+    that the area and the confusion matrix describe the same rows.
     """
+    no_score = F.raise_error(F.lit("missing score")).cast("double")
+    no_label = F.raise_error(F.lit("label other than 0 and 1")).cast("double")
+    given, labelled = F.col(score).cast("double"), F.col(label).cast("double")
     rows = scored.select(
-        *by, F.col(score).cast("double").alias("score"), F.col(label).alias("label")
+        *by,
+        F.when(is_missing(scored, score), no_score).otherwise(given).alias("score"),
+        F.when(labelled.isin(0.0, 1.0), labelled).otherwise(no_label).alias("label"),
     )
     ties = rows.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).cast("double").alias("pos"),

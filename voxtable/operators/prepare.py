@@ -27,11 +27,14 @@ def hash_split(
     """Tag rows with ``split`` (train / test) and ``fold`` by a digest of their key.
 
     Unlike a random split the result does not depend on partitioning or row order, and a lost
-    executor recomputes the same rows. Split and fold use different parts of the digest.
+    executor recomputes the same rows. Split and fold use different parts of the digest. A NULL
+    key has no digest and is an error.
     """
-    in_train = hash_bucket(F.col(key), 100, seed) < train_percent
+    no_key = F.raise_error(F.lit("row without a key")).cast("string")
+    known = F.coalesce(F.col(key).cast("string"), no_key)
+    in_train = hash_bucket(known, 100, seed) < train_percent
     return df.withColumn("split", F.when(in_train, "train").otherwise("test")).withColumn(
-        "fold", hash_bucket(F.col(key), folds, seed, part=1)
+        "fold", hash_bucket(known, folds, seed, part=1)
     )
 
 
@@ -55,11 +58,19 @@ def assemble(
     return assembler.transform(labelled).select(*carry, "features", "label")
 
 
-def assemble_report(df: DataFrame, features: list[str]) -> DataFrame:
-    """How many rows ``assemble`` keeps and drops for a missing feature, one row (H1)."""
-    kept = all_present(df, features)
+def assemble_report(
+    df: DataFrame, features: list[str], label: Column | None = None
+) -> DataFrame:
+    """How many rows ``assemble`` keeps and drops, and for what, one row (H1).
+
+    A row without a label counts as one without a label, whether or not a feature is missing too.
+    """
+    featured = all_present(df, features)
+    labelled = F.lit(True) if label is None else label.isNotNull()
     return df.agg(
-        F.count_if(kept).alias("kept"),
-        F.count_if(~kept).alias("dropped"),
+        F.count_if(featured & labelled).alias("kept"),
+        F.count_if(~(featured & labelled)).alias("dropped"),
+        F.count_if(~labelled).alias("without_label"),
+        F.count_if(labelled & ~featured).alias("without_feature"),
         F.count("*").alias("total"),
     )

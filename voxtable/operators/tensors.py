@@ -38,7 +38,8 @@ def pixel_rows(slices: DataFrame, layout: TensorLayout = _DEFAULT) -> DataFrame:
     The header (``pos`` = -1) keeps slices and volumes without any active pixel in the result,
     so that no join back to the list of volumes is needed. Its coordinates, mask flags and
     values are NULL and drop out of every aggregate. A slice without an active pixel generates
-    nothing but its header.
+    nothing but its header. A mask of the wrong size is an error, and so is an image of the wrong
+    size or none where a value of it is asked for.
 
     Columns: volume_id, slice_idx, slice_active, pos, y, x, active_<c> per mask channel,
     v_<modality>.
@@ -49,8 +50,12 @@ def pixel_rows(slices: DataFrame, layout: TensorLayout = _DEFAULT) -> DataFrame:
         .when(F.size("mask") == expected, F.col("h") * F.col("w") - 1)
         .otherwise(F.raise_error(F.lit("mask size differs from h * w * channels")).cast("int"))
     )
-    generated = slices.withColumn("slice_active", has_active_pixel()).withColumn(
-        "pos", F.explode(F.sequence(F.lit(-1), last))
+    wrong = F.raise_error(F.lit("image size differs from h * w * modalities"))
+    right = F.size("image") == F.col("h") * F.col("w") * len(layout.modalities)
+    generated = (
+        slices.withColumn("slice_active", has_active_pixel())
+        .withColumn("image", F.when(right, F.col("image")).otherwise(wrong.cast("array<float>")))
+        .withColumn("pos", F.explode(F.sequence(F.lit(-1), last)))
     )
 
     pos, pixel = F.col("pos"), F.col("pos") >= 0
@@ -84,8 +89,8 @@ def volume_features(
     slices. ``total_tumour_voxels`` counts pixels with any active channel (``union``) or adds up
     the channels (``sum``); the ratios are always relative to that sum, so they add up to 1.
 
-    A volume without active pixels gets 0.0 statistics; a single voxel or equal values keep the
-    NULL skewness. Selecting one group lets Catalyst prune the aggregates and the scan columns
+    Slices without a volume id are left out, as those of the metadata are. A volume without active
+    pixels gets 0.0 statistics; a single voxel or equal values keep the NULL skewness. Selecting one group lets Catalyst prune the aggregates and the scan columns
     of the others.
     """
     if whole_mask not in ("union", "sum"):
@@ -105,7 +110,7 @@ def volume_features(
             F.skewness(v).alias(f"{m}_skewness"),
         ]
     sums = (
-        pixel_rows(slices, layout)
+        pixel_rows(slices.where(F.col("volume_id").isNotNull()), layout)
         .groupBy("volume_id")
         .agg(
             F.count_if(header).alias("n_slices"),

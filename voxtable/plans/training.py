@@ -15,6 +15,7 @@ from voxtable.operators import evaluate, models, prepare
 from voxtable.schemas import CLASS_NAMES
 from voxtable.sources.tables import cached, materialize, write_csv
 
+# The published model names.
 RANDOM_FOREST, BOOSTED_TREES = "Random Forest", "GBT"
 
 
@@ -41,11 +42,15 @@ def train_and_compare(
     estimators: dict[str, Estimator] | None = None,
     names: tuple[str, ...] = CLASS_NAMES,
     parallelism: int = 6,
+    grids: dict[str, list[dict]] | None = None,
+    seed: int = 42,
 ) -> Iterator[dict[str, DataFrame]]:
     """Result tables by name.
 
-    Both models are cross-validated on the training rows and judged on the hold-out rows. The
-    training frame and the scored hold-out rows stay cached inside the ``with`` block.
+    All models, two unless others are given, are cross-validated on the training rows, each over
+    its grid if it has one, and judged on the hold-out rows. ``dropped_rows`` tells how many rows
+    had no label or a missing feature and took no part. The training frame and the scored hold-out
+    rows stay cached inside the ``with`` block.
     """
     spark = clean.sparkSession
     features = features or numeric_columns(clean, exclude=(key, label))
@@ -53,23 +58,23 @@ def train_and_compare(
         RANDOM_FOREST: models.random_forest(),
         BOOSTED_TREES: models.boosted_trees(),
     }
-    with cached(training_frame(clean, key, features, F.col(label))) as frame:
+    with cached(training_frame(clean, key, features, F.col(label), seed)) as frame:
         train = frame.where(F.col("split") == "train")
         test = frame.where(F.col("split") == "test")
-        fitted = models.cross_validate_all(train, estimators, parallelism)
+        fitted = models.cross_validate_all(train, estimators, parallelism, grids)
         predictions = [models.score_rows(r.model, test, name) for name, r in fitted.items()]
         columns = [key, "model", "label", "prediction", "score", "probability"]
-        both = reduce(DataFrame.unionByName, [p.select(columns) for p in predictions])
-        with cached(both) as scored:
+        everything = reduce(DataFrame.unionByName, [p.select(columns) for p in predictions])
+        with cached(everything) as scored:
             metrics = evaluate.metrics_long(evaluate.all_metrics(scored))
             tables = {
                 "cv_scores": models.cv_scores(spark, fitted),
                 "model_comparison": metrics,
+                "model_winner": evaluate.best_models(metrics, list(fitted)),
+                "dropped_rows": prepare.assemble_report(clean, features, F.col(label)),
                 "class_distribution": prepare.class_distribution(frame, names=names),
                 "confusion_matrices": evaluate.confusion_matrix(scored, names, by=("model",)),
             }
-            if len(fitted) == 2:
-                tables["model_winner"] = evaluate.model_winner(metrics, *fitted)
             for name, result in fitted.items():
                 short = name.lower().replace(" ", "_")
                 own = scored.where(F.col("model") == name)

@@ -1,13 +1,9 @@
-"""Tensor slices: stored tables, and one-file-per-slice folders."""
+"""Tensor slices: stored tables, and the names in one-file-per-slice folders."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from voxtable.functions.scalars import slice_file_ids
 from voxtable.schemas import TENSOR_SLICES
@@ -31,48 +27,3 @@ def list_slice_files(spark: SparkSession, folder: str, pattern: str = "*.h5") ->
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     volume_id, slice_idx = slice_file_ids(F.col("path"))
     return files.select("path", volume_id.alias("volume_id"), slice_idx.alias("slice_idx"))
-
-
-def hdf5_arrays(file) -> tuple:
-    """``image`` and ``mask`` of one open HDF5 slice file; needs h5py on the executors."""
-    import h5py
-
-    with h5py.File(file, "r") as h5:
-        return h5["image"][:], h5["mask"][:]
-
-
-def read_slice_files(
-    spark: SparkSession,
-    folder: str,
-    pattern: str = "*.h5",
-    arrays: Callable[[object], tuple] = hdf5_arrays,
-) -> DataFrame:
-    """Decode slice files into the table of ``TENSOR_SLICES`` (A4).
-
-    Only paths go to the Python workers; each file is opened there and leaves as one record
-    batch, so a task holds one decoded slice at a time. Write the result to Parquet once and start
-    from ``read_tensor_slices`` afterwards.
-    """
-    schema = to_arrow_schema(TENSOR_SLICES)
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow.fs import FileSystem
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                fs, path = FileSystem.from_uri(row["path"])
-                with fs.open_input_file(path) as file:
-                    image, mask = arrays(file)
-                columns = [
-                    [row["volume_id"]],
-                    [row["slice_idx"]],
-                    [mask.shape[0]],
-                    [mask.shape[1]],
-                    [image.astype("float32").ravel()],
-                    [(mask > 0).astype("int8").ravel()],
-                ]
-                yield pa.record_batch(
-                    [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-                )
-
-    return list_slice_files(spark, folder, pattern).mapInArrow(decode, TENSOR_SLICES)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxtable.sources.slices import binarised
-
 TRAINING_FEATURES = ["n_chars", "n_words", "n_lines", "n_unique_lines", "n_digits"]
 
 
@@ -27,16 +25,20 @@ def slice_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tensor_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as 4 x 4 slices with 4 modalities; the mask marks values above 0.25 in the
-    first three of them."""
+    """Embeddings as 4 x 4 slices with 4 modalities; the raw mask grades values of the first
+    three of them as 1 above 0.25, 2 above 0.3 and 4 above 0.4."""
     first_three = F.filter("embedding", lambda _, i: i % 4 < 3)
+    graded = F.transform(
+        first_three,
+        lambda v: F.when(v > 0.4, 4).when(v > 0.3, 2).when(v > 0.25, 1).otherwise(0).cast("tinyint"),
+    )
     return table(spark, sf_dir, "embeddings").select(
         F.expr("vec_id div 2").alias("volume_id"),
         F.col("vec_id").alias("slice_idx"),
         F.lit(4).alias("h"),
         F.lit(4).alias("w"),
         F.col("embedding").alias("image"),
-        binarised(first_three, 0.25).alias("mask"),
+        graded.alias("mask"),
     )
 
 
@@ -106,11 +108,14 @@ def scored(
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents with counts over their whole text as features.
 
-    The counts are taken below the join, which then moves six numbers per document, not texts.
+    Texts without a label are left out before their words are counted, and the counts are taken
+    below the join, which then moves six numbers per document, not texts.
     """
     text = F.col("text")
     lines = F.split(text, "\n")
-    counts = table(spark, sf_dir, "documents").select(
+    known = table(spark, sf_dir, "labels").select("doc_id")
+    labelled = table(spark, sf_dir, "documents").join(known, "doc_id", "left_semi")
+    counts = labelled.select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.regexp_count(text, F.lit(r"\S+")).cast("double").alias("n_words"),
@@ -124,22 +129,40 @@ def training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(labels, "doc_id")
 
 
-def eda_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric columns of order lines with a group column and a row key."""
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        "l_returnflag",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
+def exact_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with a label that is one of the 0/1 features, so that results are known."""
+    is_english = (F.col("lang") == "en").cast("double")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        is_english.alias("is_english"),
+        F.regexp_extract("source", r"(\d+)$", 1).cast("double").alias("source_number"),
+        is_english.alias("label"),
+    )
+
+
+EXACT_FEATURES = ["n_chars", "is_english", "source_number"]
+
+
+def ragged_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of two shapes: every third one is 2 x 4, the others are 4 x 4."""
+    small = F.col("slice_idx") % 3 == 0
+    pixels = F.when(small, 8).otherwise(16)
+    return tensor_slices(spark, sf_dir).select(
+        "volume_id",
+        "slice_idx",
+        F.when(small, 2).otherwise(4).alias("h"),
+        "w",
+        F.slice("image", F.lit(1), pixels * 4).alias("image"),
+        F.slice("mask", F.lit(1), pixels * 3).alias("mask"),
     )
 
 
+def eda_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines, with numeric columns and a group column."""
+    return table(spark, sf_dir, "lineitem")
+
+
 def eda_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels where known, for missing values."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")

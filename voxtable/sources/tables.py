@@ -13,18 +13,31 @@ from pyspark.sql import types as T
 from voxtable.schemas import SLICE_META, clean_table_schema, feature_table_schema
 
 
+# How CSV is read and written: quotes are doubled inside quotes, line breaks may be quoted, and a
+# row of another width than the header fails whichever columns are asked for.
+QUOTING = {"quote": '"', "escape": '"'}
+READING = {
+    **QUOTING,
+    "header": True,
+    "enforceSchema": False,
+    "mode": "FAILFAST",
+    "multiLine": True,
+    "columnPruning": False,
+}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header that has to match the schema; a malformed cell fails the read (A1, A2)."""
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=False, mode="FAILFAST")
+    return spark.read.options(**READING).schema(schema).csv(path)
 
 
 def read_columns(spark: SparkSession, path: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
     """Some columns of a CSV file, found by header name.
 
-    ``columns`` maps an output name to (header name, type). Only these columns are parsed, no
-    inference pass is run, and a cell that does not fit its type fails the cast under ANSI.
+    ``columns`` maps an output name to (header name, type). No inference pass is run. A row with
+    too few or too many cells fails the read, a cell that does not fit its type fails the cast.
     """
-    text = spark.read.csv(path, header=True, enforceSchema=False)
+    text = spark.read.options(**READING).csv(path)
     return text.select(*[F.col(f"`{h}`").cast(t).alias(c) for c, (h, t) in columns.items()])
 
 
@@ -75,7 +88,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     ``single_file`` funnels the table through one task: for small result tables only.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").csv(path, header=True)
+    out.write.mode("overwrite").options(**QUOTING).csv(path, header=True)
 
 
 def work_folder(spark: SparkSession) -> str:
