@@ -304,7 +304,7 @@ ORACLES: dict[str, str] = {
         FROM lineitem GROUP BY l_returnflag""",
     "group_stats": f"""
         SELECT l_returnflag, {", ".join(
-            f"round({fn}({c}), 2) + 0.0 AS {s}_{c}"
+            f"CAST(round({fn}({c}), 2) + 0.0 AS DOUBLE) AS {s}_{c}"
             for (s, fn), c in product(
                 (("avg", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min")), EDA_COLUMNS))}
         FROM lineitem GROUP BY l_returnflag""",
