@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtable.functions.scalars import all_present, by_column, is_missing
+from voxtable.ship import ship_package
 
 
 def _pearson() -> Column:
@@ -71,6 +72,7 @@ PAIR_SUMS = ("n", "x", "y", "xx", "yy", "xy")
 def _pair_sums(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(a, b, n, x, y, xx, yy, xy)`` for every pair of column positions ``a < b``: sums over the
     rows in which both are present."""
+    ship_package(df.sparkSession)
     size = len(columns)
     first, second = np.triu_indices(size, 1)
 
