@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtable.llm.frames import column, nested, restored, text_of
+from voxtable.ship import ship_package
 from voxtable.sources.tables import materialize
 
 END, RARE = 0, 1  # codes of the end and of all rare words, and the classes of both
@@ -181,16 +182,25 @@ def exchange_seeds(counts: np.ndarray, classes: int, passes: int) -> np.ndarray:
     return of
 
 
+def log_likelihood(table: np.ndarray) -> float:
+    """What the classes add to the log likelihood of the training text."""
+    f = _xlogx
+    return float(f(table).sum() - f(table.sum(axis=0)).sum() - f(table.sum(axis=1)).sum())
+
+
 def exchange_round(
-    encoded: DataFrame, dtype: str, of: np.ndarray, assigned: np.ndarray, classes: int
+    encoded: DataFrame, dtype: str, of: np.ndarray, table: np.ndarray
 ) -> np.ndarray:
     """Move every frequent word to its best class, all at once; the classes after that.
 
-    ``of`` maps codes to classes, ``assigned`` tells which codes are in one of the exchange
-    classes already. The counts of classes beside a word are summed up in each task first.
+    ``of`` maps codes to classes and ``table`` counts these after each other. The counts of
+    classes beside a word are summed up in each task first. An empty class takes no word: it would
+    look best to all of them at once.
     """
-    total, codes = classes + FIXED, len(of)
-    table = bigram_counts(encoded, dtype, _covering(of, total)).astype(np.float64)
+    total, codes = len(table), len(of)
+    usable = (table.sum(axis=1) > 0) & (np.arange(total) >= FIXED)
+    if not usable.any():
+        usable = np.arange(total) >= FIXED
     names = [f"{side}{c}" for side in ("after", "before") for c in range(total)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,9 +229,9 @@ def exchange_round(
                 code = part["code"].to_numpy(np.int64)
                 beside = part[names].to_numpy(np.float64)
                 right, left = beside[:, :total], beside[:, total:]
-                own = np.where(assigned[code], of[code], RARE)
-                gains = exchange_gains(table, right, left, np.zeros(len(code)), own)
-                yield pd.DataFrame({"code": code, "best": FIXED + gains[:, FIXED:].argmax(axis=1)})
+                gains = exchange_gains(table, right, left, np.zeros(len(code)), of[code])
+                best = np.where(usable, gains, -np.inf).argmax(axis=1)
+                yield pd.DataFrame({"code": code, "best": best})
 
     moved = sums.mapInPandas(move, "code bigint, best bigint").toPandas()  # the frequent words
     found = of.copy()
@@ -229,9 +239,10 @@ def exchange_round(
     return found
 
 
-def _covering(of: np.ndarray, total: int) -> np.ndarray:
-    """Classes of the codes, with a last entry that no text has so that the table is whole."""
-    return np.concatenate([of, [total - 1]])
+def class_counts(encoded: DataFrame, dtype: str, of: np.ndarray, total: int) -> np.ndarray:
+    """How often one class follows another, over all ``total`` classes."""
+    kinds = np.concatenate([of, [total - 1]])  # the last is no code and makes the table whole
+    return bigram_counts(encoded, dtype, kinds).astype(np.float64)
 
 
 @dataclass
@@ -317,6 +328,7 @@ def score_texts(
     those with more than one in ``seed_share`` first. As shares of the whole these bound what the
     driver and a task hold, and take in the same part of the language at every size.
     """
+    ship_package(df.sparkSession)
     columns = df.columns if carry is None else carry
     training = F.coalesce(is_training, F.lit(False))
     counts = materialize(word_counts(df.where(training).select(text_of(text_col).alias("text"))))
@@ -340,11 +352,13 @@ def score_texts(
     of = np.full(len(of_code), RARE)
     seeded = bigram_counts(trained, dtype, np.where(codes < seeds, codes, RARE))
     of[:seeds] = exchange_seeds(seeded, classes, passes)[:seeds]
-    assigned = codes < seeds
+    table = class_counts(trained, dtype, of, classes + FIXED)
     for _ in range(rounds if len(known) else 0):
-        of = exchange_round(trained, dtype, of, assigned, classes)
-        assigned = np.ones(len(of), bool)
-    table = bigram_counts(trained, dtype, _covering(of, classes + FIXED)).astype(np.float64)
+        moved = exchange_round(trained, dtype, of, table)
+        after = class_counts(trained, dtype, moved, classes + FIXED)
+        if log_likelihood(after) <= log_likelihood(table):
+            break  # words that moved at the same time got in each other's way
+        of, table = moved, after
     model = class_model(of, table, of_code, tokens, words)
 
     # Rare words are rare each, so no key of this join is hot; each text's are added up again.

@@ -9,6 +9,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtable.llm.frames import column, text_of, with_results
+from voxtable.ship import ship_package
 
 WIDTH = 6  # bytes that a filter sees
 HOP = 256  # chunks are two hops long and start at every hop
@@ -163,9 +165,11 @@ def labelled_sample(
     """``per_label`` documents of each label at most, by the hash of their id, some chunks of each.
 
     Weighted by how often a label occurs, so that scores are probabilities. Null labels and labels
-    other than 0 and 1 are left out.
+    other than 0 and 1 are left out; of rows with the same id and label one is used.
     """
 
+    ship_package(df.sparkSession)
+
     @F.arrow_udf("array<binary>")
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -174,14 +178,20 @@ def labelled_sample(
 
     known = labels.select(column(id_col).alias("id"), column(label_col).alias("label"))
     known = known.where("id IS NOT NULL AND label IN (0, 1)")
-    order = [F.xxhash64("id"), F.col("id")]
+    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     drawn = [
-        known.where(F.col("label") == label).orderBy(*order).limit(per_label) for label in (0, 1)
+        # Twice as many by their hash, so that no task hands over more however many there are.
+        known.where((F.col("label") == label) & (F.pmod(F.xxhash64("id"), F.lit(n)) < 2 * per_label))
+        .orderBy(F.xxhash64(F.lit("order"), "id"), "id")
+        .limit(per_label)
+        for label, n in sorted(total.items())
     ]
+    if not drawn:
+        return []
     texts = df.select(column(id_col).alias("id"), text_of(text_col).alias("text"))
-    found = texts.join(F.broadcast(drawn[0].union(drawn[1])), "id")
-    rows = found.select("id", "label", cut("text").alias("chunks")).collect()
-    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    found = texts.join(F.broadcast(reduce(DataFrame.union, drawn).distinct()), "id")
+    cuts = found.select("id", "label", cut("text").alias("chunks"))
+    rows = cuts.groupBy("id", "label").agg(F.min("chunks").alias("chunks")).collect()
     used = {label: sum(r["label"] == label for r in rows) for label in total}
     share = {k: n / sum(total.values()) * len(rows) / max(1, used[k]) for k, n in total.items()}
     rows.sort(key=lambda r: (r["label"], str(r["id"]), r["chunks"]))
@@ -190,6 +200,7 @@ def labelled_sample(
 
 def score_documents(df: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
     """Every row with ``score``, from the whole text alone; a null text counts as empty."""
+    ship_package(df.sparkSession)
     weights = network.arrays()
 
     @F.arrow_udf("double")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from voxtable.llm import vptree
 from voxtable.llm.components import smallest_reachable
 from voxtable.llm.frames import column, join_counted, nested, restored, text_of
+from voxtable.ship import ship_package
 from voxtable.sources.tables import materialize
 
 BITS = 64
@@ -121,6 +122,7 @@ def near_links(
     ``distinct`` holds ``rows`` different fingerprints. Each cell returns a star for each group
     that it connects, so a dense group has as many links as members and not as many as pairs.
     """
+    ship_package(distinct.sparkSession)
     radius = within // segments
     points = distinct.select("fingerprint")
     drawn = points.orderBy(F.xxhash64("fingerprint")).limit(sample).toPandas()
@@ -164,6 +166,7 @@ def _near_groups(
     sample: int,
 ) -> DataFrame:
     """Rows as ``(row, fingerprint, component_id, kept)``."""
+    ship_package(df.sparkSession)
     place = F.monotonically_increasing_id()  # stored, so it never changes
     rows = nested(df, columns, id=column(id_col), text=text_of(text_col), place=place)
     stored = materialize(with_fingerprint(rows, "text", shingle).drop("text"))

@@ -86,7 +86,7 @@ class Shards:
         return self._walk(points, within)
 
     def _walk(self, points: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
-        if not self.nodes:
+        if not self.nodes or not len(points):
             return np.arange(len(points)), np.zeros(len(points), np.int32)
         indexes, shards = [], []
         waiting = [(0, np.arange(len(points)))]
@@ -98,8 +98,8 @@ class Shards:
                 continue
             vantage, radius, inside, outside = self.nodes[at]
             found = distances(points[own], points.dtype.type(vantage))
-            waiting.append((inside, own[found - within <= radius]))
-            waiting.append((outside, own[found + within > radius]))
+            sides = ((inside, found - within <= radius), (outside, found + within > radius))
+            waiting += [(child, own[there]) for child, there in sides if there.any()]
         order = np.argsort(np.concatenate(indexes), kind="stable")
         return np.concatenate(indexes)[order], np.concatenate(shards)[order]
 
