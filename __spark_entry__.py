@@ -81,7 +81,9 @@ def _raw_tables(spark: SparkSession, sf: str) -> DataFrame:
     meta = standins.slice_meta(spark, sf).withColumnsRenamed(headers)
     tables.write_csv(meta.select(F.lit("a, b").alias("path"), "*", F.lit(0.5)), f"{folder}/meta")
     names = standins.nation_map(spark, sf).select(
-        F.lit('a "quoted"\nline').alias("note"), F.col("grade").alias("Grade"), F.col("subject_id").alias("Subject")
+        F.lit('a "quoted"\nline').alias("note"),
+        F.col("grade").alias("Grade"),
+        F.col("subject_id").alias("Subject"),
     )
     tables.write_csv(names, f"{folder}/names")
     ages = standins.survival(spark, sf).select(
@@ -164,7 +166,8 @@ def _build_reports(spark: SparkSession, sf: str) -> DataFrame:
         standins.survival(spark, sf),
         id_pattern=r"#(\d+)$",
     )
-    parts = [found["label_frequencies"].select(F.lit("label").alias("report"), F.col("grade").alias("what"), "n")]
+    report, what = F.lit("label").alias("report"), F.col("grade").alias("what")
+    parts = [found["label_frequencies"].select(report, what, "n")]
     for report in ("label_coverage", "attribute_coverage"):
         for what in ("present", "missing", "total"):
             parts.append(found[report].select(F.lit(report), F.lit(what), what))

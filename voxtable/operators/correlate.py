@@ -53,9 +53,8 @@ def _standardised(df: DataFrame, columns: list[str]) -> Column:
     """Values as one array, less the mean and in units of the deviation; a constant is all zero."""
     values = {c: _present(df, c) for c in columns}
     x = F.col("x")
-    found = by_column(
-        df, values, [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.max(x) - F.min(x)).alias("range")]
-    )
+    spread = [F.stddev_pop(x).alias("std"), (F.max(x) - F.min(x)).alias("range")]
+    found = by_column(df, values, [F.avg(x).alias("mean"), *spread])
     stats = {r["column"]: r for r in found.collect()}  # one row for each column
 
     def scaled(name: str) -> Column:
@@ -108,7 +107,8 @@ def _cells(sums: DataFrame, columns: list[str]) -> DataFrame:
     noise = {c: 1e-13 * F.col(c + c) for c in ("x", "y")}
     varies = (F.col("n") > 1) & (spread["x"] > noise["x"]) & (spread["y"] > noise["y"])
     raw = (F.col("xy") - F.col("x") * F.col("y") / n) / F.sqrt(spread["x"] * spread["y"])
-    found = sums.select("a", "b", F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))).alias("corr"))
+    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))
+    found = sums.select("a", "b", F.when(varies, bounded).alias("corr"))
 
     places = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
     upper = F.inline(

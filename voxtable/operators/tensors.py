@@ -90,8 +90,8 @@ def volume_features(
     the channels (``sum``); the ratios are always relative to that sum, so they add up to 1.
 
     Slices without a volume id are left out, as those of the metadata are. A volume without active
-    pixels gets 0.0 statistics; a single voxel or equal values keep the NULL skewness. Selecting one group lets Catalyst prune the aggregates and the scan columns
-    of the others.
+    pixels gets 0.0 statistics; a single voxel or equal values keep the NULL skewness. Selecting one
+    group lets Catalyst prune the aggregates and the scan columns of the others.
     """
     if whole_mask not in ("union", "sum"):
         raise ValueError(f"whole_mask must be 'union' or 'sum', not {whole_mask!r}")
