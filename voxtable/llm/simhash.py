@@ -125,7 +125,9 @@ def near_links(
     ship_package(distinct.sparkSession)
     radius = within // segments
     points = distinct.select("fingerprint")
-    drawn = points.orderBy(F.xxhash64("fingerprint")).limit(sample).toPandas()
+    # About ``sample`` fingerprints in all, however many tasks read them.
+    chosen = F.pmod(F.xxhash64("fingerprint"), F.lit(max(1, rows // sample))) == 0
+    drawn = points.where(chosen).toPandas()
     known = np.sort(drawn["fingerprint"].to_numpy().astype(np.int64)).view(np.uint64)
     shards = min(max(4, -(-rows // shard_points)), MAX_SHARDS - 1)
     trees = [
@@ -227,7 +229,8 @@ def mark_near_duplicates(
     ``component_id`` and ``kept``; an input column of such a name gives way.
 
     All links are found whatever the other parameters: ``segments`` divides 64, ``shard_points``
-    and ``tile_points`` size the tasks, and ``sample`` fingerprints fit the shards' boundaries.
+    and ``tile_points`` size the tasks, and some ``sample`` fingerprints, twice as many at most,
+    fit the shards' boundaries.
     """
     columns = df.columns if carry is None else carry
     sizes = (shingle, within, segments, shard_points, tile_points, sample)
