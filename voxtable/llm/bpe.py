@@ -139,6 +139,9 @@ class TokenAutomaton:
 
     def encode(self, word: bytes) -> list[int]:
         """Tokens of one pre-split word: run forward, then follow the path back."""
+        whole = self.final.get(word)
+        if whole is not None:
+            return [whole]
         last, at = self.run(word), len(word)
         token = self.end(word, at, last)
         path = [token]
@@ -216,16 +219,17 @@ class Vocabulary:
 class Encoder:
     """Texts to ids and back, with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 400_000):
+    def __init__(self, text: str, remembered: int = 500_000):
         self.vocabulary = Vocabulary(text)
-        self._of_piece = Remembered(self._encode_piece, remembered // 2)
         self._of_word = Remembered(self._encode_word, remembered)
 
-    def _encode_piece(self, piece: str) -> bytes:
-        return np.array(self.vocabulary.automaton.encode(piece.encode()), "<u4").tobytes()
-
     def _encode_word(self, word: str) -> bytes:
-        return b"".join([self._of_piece[p] for p in self.vocabulary.pieces(word)])
+        """A word of several pieces is made of these, which are remembered as words themselves."""
+        pieces = self.vocabulary.pieces(word)
+        if len(pieces) > 1:
+            return b"".join([self._of_word[p] for p in pieces])
+        found = [self.vocabulary.automaton.encode(p.encode()) for p in pieces]
+        return np.array(found, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

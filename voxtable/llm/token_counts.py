@@ -77,9 +77,8 @@ def _word_start(part: str, k: int) -> int:
 class Counter:
     """Counts tokens with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 400_000):
+    def __init__(self, text: str, remembered: int = 500_000):
         self.vocabulary = Vocabulary(text)
-        self._of_piece = Remembered(lambda p: self._counts(p.encode())[-1], remembered // 2)
         self.of_word = Remembered(self._of_new_word, remembered)
 
     def _counts(self, piece: bytes, ends: list[int] | None = None) -> list[int]:
@@ -96,7 +95,11 @@ class Counter:
         return counts
 
     def _of_new_word(self, word: str) -> int:
-        return sum([self._of_piece[p] for p in self.vocabulary.pieces(word)])
+        """A word of several pieces adds up what is remembered of these as words."""
+        pieces = self.vocabulary.pieces(word)
+        if len(pieces) > 1:
+            return sum([self.of_word[p] for p in pieces])
+        return sum([self._counts(p.encode())[-1] for p in pieces])
 
     def prefixes_of_word(self, word: str) -> list[int]:
         """Tokens of every prefix of a word, from no character to all of them.
@@ -109,9 +112,9 @@ class Counter:
             cuts = np.cumsum([len(c.encode()) for c in piece]).tolist()
             contraction = len(piece) > 1 and piece[0] == "'" and piece[1].isalpha()
             if contraction:
-                mark = self._of_piece["'"]
+                mark = self.of_word["'"]
                 letters = self._counts(piece[1:].encode(), list(range(1, len(piece))))
-                inside = [mark, *(mark + n for n in letters[:-1]), self._of_piece[piece]]
+                inside = [mark, *(mark + n for n in letters[:-1]), self.of_word[piece]]
             else:
                 inside = self._counts(piece.encode(), cuts)
             counts += [before + n for n in inside]
