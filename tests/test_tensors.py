@@ -206,3 +206,15 @@ def test_slices_without_a_volume_are_left_out(spark):
     assert [(r.volume_id, r.total_tumour_voxels, r.voxels_ch0) for r in found] == [(7, 1, 1)]
     values = tensors.mask_values_per_slice(slices).where("volume_id = 7").first().mask_values
     assert values == "0,2,4"
+
+
+def test_generated_methods_stay_within_the_jit_limit(spark):
+    rows = [(1, 0, 2, 2, [1.0] * 16, [1] * 12)]
+    slices = spark.createDataFrame(rows, TENSOR_SLICES)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it will run
+    try:
+        stages = tensors.volume_features(slices)._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert 0 < max(sizes) < 8000  # beyond that the JVM does not compile a method
