@@ -33,19 +33,37 @@ CANDIDATE = rf"[A-Za-z0-9+/_-]{{{WINDOW},}}"
 # The same strings, found without trying every character of a shorter run.
 CANDIDATE_RUN = rf"(?<![A-Za-z0-9+/_-]){CANDIDATE}+"
 #: Character classes of candidates, the first that matches counts, and the least entropy of a
-#: window in bits. Words and numbers are of no class.
+#: window in bits. The SQL has the first three. Every candidate is of a class: the fewer kinds of
+#: characters a secret has, the more it looks like words, and the closer to random it must be.
 CLASSES = (
     (r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.03),
     (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9]+$", 3.63),
     (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z]).+$", 3.83),
+    (r"^[0-9]+$", 3.2),
+    (r"^(?:[a-z]+|[A-Z]+)$", 3.83),
+    (r"^[A-Za-z]+$", 3.9),
+    (r"^[A-Za-z0-9]+$", 3.63),
+    (r"[0-9]", 3.83),
+    (r"", 4.0),
 )
-#: Candidates that are no secrets: UUIDs, examples and placeholders, alphabets, paths of words.
+#: What the SQL leaves out as a whole: UUIDs, examples and placeholders, alphabets, paths of words.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)example|placeholder|changeme|xxxxxx",
     r"(?i)abcdefgh|0123456789|987654321",
     r"^/?([a-zA-Z_-]+/)+[a-zA-Z0-9_-]*$",
 )
+# Of these a UUID is no secret. Windows with an example, a placeholder or an alphabet do not count,
+# those beside it do. In a path each segment counts for itself, if all are words: the last may have
+# numbers before or after its words, and any may where there are no capital letters.
+UUID = ALLOWED[0]
+ALLOWED_PART = r"(?i)example|placeholder|changeme|x{6,}|abcdefgh|0123456789|987654321"
+NUMBERED = r"(?:(?:{0}*[0-9]*|[0-9]+{0}+)(?:[_-]|$|(?=/)))*+"
+PATHS = (
+    rf"^/?(?:[a-zA-Z_-]++/)++{NUMBERED.format('[a-zA-Z]')}$",
+    rf"^/?(?:(?=[a-z0-9_-]){NUMBERED.format('[a-z]')}/)++{NUMBERED.format('[a-z]')}$",
+)
+BLOCK = 1000  # windows of a long run are looked at in blocks, as places in a text are counted from its start
 SCALE = 1_000_000  # the sum is kept in whole millionths, so that no order of steps shows
 
 
@@ -82,17 +100,29 @@ def entropy_reaches(candidate: Column, least: Column) -> Column:
     return lowest <= F.round((F.lit(math.log2(WINDOW)) - least) * WINDOW * SCALE)
 
 
-def is_secret(candidate: Column) -> Column:
-    """Whether a candidate is of a class whose entropy it reaches, and of no allowed kind."""
+def least_entropy(part: Column) -> Column:
+    """The least entropy for the class of a part."""
     least = F.lit(None).cast("double")
     for pattern, bits in reversed(CLASSES):
-        least = F.when(candidate.rlike(pattern), bits).otherwise(least)
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | candidate.rlike(pattern)
-    return F.coalesce(
-        F.when(least.isNotNull() & ~allowed, entropy_reaches(candidate, least)), F.lit(False)
-    )
+        least = F.when(part.rlike(pattern), bits).otherwise(least)
+    return least
+
+
+def is_secret(candidate: Column) -> Column:
+    """Whether some window of a candidate that is in no allowed part has the entropy of its class."""
+
+    def blocks(part: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(part) - WINDOW + 1, F.lit(BLOCK))
+        return F.transform(starts, lambda at: F.substring(part, at, F.lit(BLOCK + WINDOW - 1)))
+
+    def reaches(part: Column) -> Column:
+        some = lambda least: F.exists(blocks(part), lambda b: entropy_reaches(b, least))
+        return F.exists(F.array(least_entropy(part)), some)
+
+    is_path = candidate.rlike(PATHS[0]) | candidate.rlike(PATHS[1])
+    ends = F.when(is_path, F.lit(f"{ALLOWED_PART}|/")).otherwise(F.lit(ALLOWED_PART))
+    parts = F.filter(F.split(candidate, ends), lambda part: F.length(part) >= WINDOW)
+    return ~candidate.rlike(UUID) & F.exists(parts, reaches)
 
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -170,7 +200,7 @@ def find_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     Spans are places in code points, the end exclusive, ordered by start and then by kind as in
     ``KINDS``. The first three kinds are the base patterns and stay whatever the fourth finds:
-    candidates with a window of high entropy that are not allowed and not inside a base span.
+    candidates with a window of high entropy that is in no allowed part, and not inside a base span.
     ``base_sha256`` is the digest of the base spans as listed, of the empty text where there are
     none. A null text counts as empty and has no spans. Rows are independent of each other,
     repeated rows included; an input column with the name of a result column gives way; an empty
