@@ -1,0 +1,112 @@
+"""Language identification against plain longest matches and on held-out documents."""
+
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tests.llm import helpers
+from voxtable.llm import language_id
+from voxtable.llm.language_id import CrossParser, SuffixAutomaton, normalised, predict_languages
+
+
+def phrases(passages, text):
+    """Longest matches from left to right, found by looking each one up."""
+    at = count = 0
+    while at < len(text):
+        size = 0
+        while at + size < len(text) and any(text[at : at + size + 1] in p for p in passages):
+            size += 1
+        at, count = at + max(1, size), count + 1
+    return count
+
+
+@pytest.mark.parametrize("chunk, before", [(8, 3), (64, 40), (1024, 48), (5, 5)])
+def test_phrases_are_the_longest_matches(monkeypatch, chunk, before):
+    monkeypatch.setattr(language_id, "CHUNK", chunk)
+    monkeypatch.setattr(language_id, "BEFORE", before)
+    draw = random.Random(chunk)
+
+    def text(letters, size):
+        return "".join(draw.choice(letters) for _ in range(size))
+
+    for _ in range(20):
+        letters = "abcdefé"[: draw.choice([2, 3, 7])]
+        passages = tuple((name, tuple(text(letters, draw.randint(1, 60)) for _ in "123")) for name in "xyz")
+        texts = [text(letters, draw.choice([0, 1, 7, 100, 400])) + end for end in ("", "ö", "q", "!a", "  ")]
+        found = CrossParser(passages).phrases([normalised(t) for t in texts])
+        for row, (_, own) in zip(found, passages):
+            assert row.tolist() == [phrases([normalised(p) for p in own], normalised(t)) for t in texts]
+
+
+def test_automaton_reads_all_substrings_and_no_others():
+    draw = random.Random(5)
+    for _ in range(30):
+        sequence = [draw.randrange(3) for _ in range(draw.randint(1, 40))]
+        own = SuffixAutomaton(sequence, 3)
+        there = {tuple(sequence[i:j]) for i in range(len(sequence)) for j in range(i, len(sequence) + 1)}
+        assert own.states <= 2 * len(sequence)
+
+        def reads(symbols):
+            state = 0
+            for s in symbols:
+                state = own.arcs[state * 3 + s] if state >= 0 else -1
+            return state >= 0
+
+        assert all(map(reads, there))
+        for _ in range(200):
+            other = tuple(draw.randrange(3) for _ in range(draw.randint(1, 8)))
+            assert reads(other) == (other in there)
+
+
+def test_normalised():
+    assert normalised("Été, 12 DAYS!!\n\t ok_") == "été days ok".encode()
+
+
+def test_held_out_documents_are_told_apart(spark):
+    rows = entry.queries()["op11_language_id"](spark, helpers.SF_DIR).collect()
+    langs = {r.doc_id: r.lang for r in helpers.documents(spark).select("doc_id", "lang").collect()}
+    assert len(rows) == len(langs)
+    held_out = {r.doc_id for r in rows if r.held_out}
+    assert held_out == {i for i in langs if zlib.crc32(str(i).encode()) % 4 == 2}
+    right = sum(r.lang_pred == langs[r.doc_id] for r in rows if r.held_out)
+    assert right >= 0.99 * len(held_out)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def _documents(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+
+def test_odd_rows(spark):
+    rows = [(i, "the cat and the dog sat there with them", "en") for i in range(6)]
+    rows += [(i, "der Hund und die Katze saßen dort mit ihnen", "de") for i in range(6, 9)]
+    rows += [(20, None, "en"), (21, "", "en"), (22, "123 !? 45", "de"), (23, "the dog and the cat", None)]
+    rows += [(24, "zzz" * 40_000, None), (25, "die katze und der hund " * 20_000, None), (None, "the dog", "en")]
+    docs = _documents(spark, rows)
+    found = predict_languages(docs, F.col("doc_id") < 20).collect()
+    by_id = {r.doc_id: (r.lang_pred, r.held_out) for r in found}
+    assert by_id[20] == by_id[21] == by_id[22] == ("und", True)
+    assert all(r.score == 0.0 for r in found if r.lang_pred == "und")
+    assert by_id[23] == by_id[None] == ("en", True) and by_id[25] == ("de", True)
+    assert by_id[0] == ("en", False) and by_id[24][0] in ("en", "de")
+
+
+def test_nothing_to_learn_from(spark):
+    docs = _documents(spark, [(1, "some text", None), (2, "more", "en")])
+    rows = predict_languages(docs, F.lit(False)).collect()
+    assert [(r.lang_pred, r.score, r.held_out) for r in rows] == [("und", 0.0, True)] * 2
+
+
+def test_sample_is_bounded_and_copies_are_drawn_once(spark):
+    rows = [(i, "a b c " * 2000, "xx") for i in range(200)] + [(i, f"text {i} " * 300, "yy") for i in range(200, 300)]
+    learned = language_id.learn_languages(_documents(spark, rows), F.lit(True), sample_chars=40_000)
+    assert [lang for lang, _ in learned] == ["xx", "yy"]
+    for _, passages in learned:
+        assert len(passages) == len(set(passages)) and sum(map(len, passages)) <= 20_000
+    assert len(learned[1][1]) > 10
+    many = [(i, "some words in it", f"l{i % 90:02}") for i in range(400)]
+    few = language_id.learn_languages(_documents(spark, many), F.lit(True), max_languages=5)
+    assert [lang for lang, _ in few] == ["l00", "l01", "l02", "l03", "l04"]

@@ -9,8 +9,10 @@ from voxtable.llm import (
     bpe,
     class_lm,
     exact_dedup,
+    language_id,
     license_scan,
     packing,
+    periodic_runs,
     quality_model,
     quality_rules,
     secret_scan,
@@ -58,7 +60,16 @@ ROW_WISE = {
         lambda df: class_lm.score_texts(df, _training()),
         ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
     ),
+    "language": (
+        lambda df: language_id.predict_languages(df, _training()),
+        ["held_out", "lang_pred", "score"],
+    ),
+    "runs": (
+        periodic_runs.find_runs,
+        list(periodic_runs.FIELDS),
+    ),
 }
+MAY_BE_NULL = {"start", "length", "period", "exponent_milli"}  # without a run
 FILTERS = {
     "exact": exact_dedup.drop_duplicates,
     "rules": quality_rules.filter_documents,
@@ -76,7 +87,7 @@ def test_every_row_gets_one_result(spark, name):
     rows = marked.collect()
     key = lambda i: (i is None, i)
     assert sorted([r.doc_id for r in rows], key=key) == sorted([i for i, _ in helpers.TEXTS], key=key)
-    assert all(r[c] is not None for r in rows for c in results if not c.endswith("_id"))
+    assert all(r[c] is not None for r in rows for c in results if not c.endswith("_id") and c not in MAY_BE_NULL)
     assert {r["a.b"] for r in rows} == {"ab"}
 
 

@@ -12,8 +12,10 @@ from voxtable.llm import (
     bpe,
     class_lm,
     exact_dedup,
+    language_id,
     license_scan,
     packing,
+    periodic_runs,
     quality_model,
     quality_rules,
     secret_scan,
@@ -81,6 +83,48 @@ def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path(VOCABULARY))
 
 
+def _language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    return language_id.predict_languages(docs, _remainder(4) != 2).drop("text", "lang")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document by hash repeats some of its words to its end, as the contract says."""
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    hashed = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    planted = F.expr("h % 10 = 0 AND size(words) > 0")
+    placed = hashed.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumns(
+        {"n": F.size("words"), "g": F.expr("h div 10")}
+    )
+    place = placed.withColumns(
+        {
+            "a": F.when(planted, F.expr("cast(g % n as int)")),
+            "p": F.when(planted, F.expr("cast(1 + (n - cast(g % n as int)) div (3 + g % 8) as int)")),
+        }
+    )
+    repeated = F.expr("transform(words, (w, i) -> if(i < a, w, words[a + (i - a) % p]))")
+    text = F.when(planted, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    return place.select("doc_id", text.alias("text"))
+
+
+def _periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = with_planted_runs(documents(spark, sf).select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs)
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    digests = {"runs_sha256": F.array_join(line, ""), "collapsed_sha256": F.col("collapsed")}
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        *[F.sha2(text.cast("binary"), 256).alias(name) for name, text in digests.items()],
+    )
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 EXACT_DEDUP = f"""
@@ -235,6 +279,8 @@ def queries() -> dict[str, Query]:
         "op8_simhash": _simhash,
         "op9_class_lm": _class_lm,
         "op10_packing": _packing,
+        "op11_language_id": _language_id,
+        "op13_periodic_runs": _periodic_runs,
     }
 
 
