@@ -17,10 +17,12 @@ from voxtable.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    token_alignment,
     token_counts,
 )
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+ALIGNED_WITH = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
 
 
 def _training():
@@ -64,6 +66,10 @@ ROW_WISE = {
         lambda df: language_id.predict_languages(df, _training()),
         ["held_out", "lang_pred", "score"],
     ),
+    "alignment": (
+        lambda df: token_alignment.align_tokens(df, *ALIGNED_WITH),
+        [*token_alignment.TEXT_COUNTS, "n_best", "count_sum", "groups_sha256"],
+    ),
     "runs": (
         periodic_runs.find_runs,
         list(periodic_runs.FIELDS),

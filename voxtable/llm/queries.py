@@ -20,6 +20,7 @@ from voxtable.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    token_alignment,
     token_counts,
 )
 
@@ -88,6 +89,11 @@ def _language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.predict_languages(docs, _remainder(4) != 2).drop("text", "lang")
 
 
+def _token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.align_tokens(documents(spark, sf), *paths, carry=["doc_id"])
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """Every tenth document by hash repeats some of its words to its end, as the contract says."""
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
@@ -280,6 +286,7 @@ def queries() -> dict[str, Query]:
         "op9_class_lm": _class_lm,
         "op10_packing": _packing,
         "op11_language_id": _language_id,
+        "op12_token_alignment": _token_alignment,
         "op13_periodic_runs": _periodic_runs,
     }
 
