@@ -31,14 +31,12 @@ from voxtable.operators import (
 from voxtable.functions.scalars import numeric_columns, slice_file_ids
 from voxtable.plans import dataset, training
 from voxtable.schemas import SLICE_META
-from voxtable.sources import standins, tables
+from voxtable.sources import slices, standins, tables
 
 try:  # the operators on documents can be taken out as a whole
     import corpus_pipeline
     import voxtable.llm.queries as llm_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "voxtable.llm", "voxtable.llm.queries"):
-        raise
+except ImportError:
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +126,53 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_csv(spark, folder, SLICE_META)
 
 
+def _slice_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The slices written as one file each, listed by the names of the files."""
+    folder = tables.work_folder(spark)
+    slices.write_slice_files(standins.tensor_slices(spark, sf), folder)
+    return slices.list_slice_files(spark, folder, "*.npz").select("volume_id", "slice_idx")
+
+
+def _mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Slices of which every third is stored with doubles and integers, and the census of the files."""
+    folder, whole = tables.work_folder(spark), standins.tensor_slices(spark, sf)
+    third = F.col("slice_idx") % 3 == 0
+    wider = {"image": F.col("image").cast("array<double>"), "mask": F.col("mask").cast("array<int>")}
+    whole.where(~third).write.mode("append").parquet(folder)
+    whole.where(third).withColumns(wider).write.mode("append").parquet(folder)
+    return slices.type_census(slices.stored_types(spark, folder))
+
+
+BUCKETS = 8
+
+
+def _clustered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Slices and their metadata stored by volume, and read again."""
+    tensor_path, meta_path = tables.work_folder(spark), tables.work_folder(spark)
+    slices.write_clustered(standins.tensor_slices(spark, sf), tensor_path, BUCKETS)
+    slices.write_clustered(standins.slice_meta(spark, sf), meta_path, BUCKETS, order="slice")
+    return (
+        slices.read_clustered(spark, tensor_path, BUCKETS),
+        slices.read_clustered(spark, meta_path, BUCKETS, SLICE_META, order="slice"),
+    )
+
+
+def _clustered_slices(spark: SparkSession, sf: str) -> DataFrame:
+    tensor_slices, _ = _clustered(spark, sf)
+    pixels = F.aggregate("image", F.lit(0.0), lambda total, v: total + v.cast("double"))
+    return tensor_slices.select(
+        "volume_id", "slice_idx", "h", "w", F.size("mask").alias("mask_size"), pixels.alias("total")
+    )
+
+
+def _clustered_features(spark: SparkSession, sf: str) -> DataFrame:
+    tensor_slices, meta = _clustered(spark, sf)
+    features = tensors.volume_features(tensor_slices)
+    kept = ["volume_id", "n_slices", "union_voxels", "flair_mean", "centroid_x"]
+    features = features.withColumnRenamed("total_tumour_voxels", "union_voxels").select(kept)
+    return enrich.merge_features(metadata.volume_metadata(meta), features)
+
+
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     volumes, mapping = standins.nation_volumes(spark, sf), standins.nation_map(spark, sf)
     labelled = enrich.attach_label(volumes, mapping)
@@ -331,7 +376,7 @@ def _model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     with training.train_and_compare(
         clean, "doc_id", "label", standins.TRAINING_FEATURES
     ) as results:
-        return tables.materialize(results["model_comparison"])
+        return tables.materialize(results["model_comparison"], keep=True)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -341,7 +386,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator; each takes (spark, sf_dir)."""
-    meta, slices = standins.slice_meta, standins.tensor_slices
+    meta, tensor_slices = standins.slice_meta, standins.tensor_slices
     lines, documents = standins.eda_lines, standins.eda_documents
     on_documents = {}
     if llm_queries:
@@ -353,21 +398,29 @@ def queries() -> dict[str, Query]:
         "volume_slice_stats": _on(meta, metadata.volume_slice_stats),
         "volume_ids": _on(meta, metadata.volume_ids),
         "slice_file_ids": _slice_file_ids,
+        "slice_listing": _slice_listing,
+        "clustered_slices": lambda spark, sf: _rounded(_clustered_slices(spark, sf)),
+        "clustered_features": lambda spark, sf: _rounded(_clustered_features(spark, sf)),
+        "mixed_types": _mixed_types,
         "csv_roundtrip": _csv_roundtrip,
         "raw_tables": _raw_tables,
         "clean_roundtrip": lambda spark, sf: _rounded(_clean_roundtrip(spark, sf)),
         "single_file_roundtrip": _single_file_roundtrip,
-        "intensity_features": _on(slices, tensors.intensity_features),
-        "intensity_features_wide": _on(slices, tensors.intensity_features_wide),
-        "spatial_features": _on(slices, tensors.spatial_features),
-        "slice_extent": _on(slices, tensors.slice_extent),
-        "first_active_slice": _on(slices, tensors.first_active_slice),
-        "all_features": _on(slices, tensors.volume_features),
-        "mask_values_per_slice": _on(slices, tensors.mask_values_per_slice),
-        "mask_values_per_channel": _on(slices, tensors.mask_values_per_channel),
-        "active_pixels": _on(slices, tensors.active_pixels),
-        "channel_overlap": _on(slices, tensors.channel_overlap),
-        "channel_disjoint": _on(slices, tensors.channel_disjoint),
+        "intensity_features": _on(tensor_slices, tensors.intensity_features),
+        "intensity_features_wide": _on(tensor_slices, tensors.intensity_features_wide),
+        "spatial_features": _on(tensor_slices, tensors.spatial_features),
+        "slice_extent": _on(tensor_slices, tensors.slice_extent),
+        "first_active_slice": _on(tensor_slices, tensors.first_active_slice),
+        "all_features": _on(tensor_slices, tensors.volume_features),
+        "mask_values_per_slice": _on(tensor_slices, tensors.mask_values_per_slice),
+        "mask_values_per_channel": _on(tensor_slices, tensors.mask_values_per_channel),
+        "mask_values_per_volume": _on(tensor_slices, tensors.mask_values),
+        "mask_values_per_volume_channel": _on(
+            tensor_slices, lambda df: tensors.mask_values(df, per_channel=True)
+        ),
+        "active_pixels": _on(tensor_slices, tensors.active_pixels),
+        "channel_overlap": _on(tensor_slices, tensors.channel_overlap),
+        "channel_disjoint": _on(tensor_slices, tensors.channel_disjoint),
         "tensor_shape_census": _on(standins.ragged_slices, tensors.tensor_shape_census),
         "attach_label": _labelled,
         "label_coverage": _on(_labelled, lambda df: enrich.coverage(df, "grade")),
@@ -406,6 +459,9 @@ def queries() -> dict[str, Query]:
         "confusion_matrix": _on(standins.scored, evaluate.confusion_matrix),
         "class_metrics": _on(_two_models, lambda df: evaluate.class_metrics(df, ("model",))),
         "auc_exact": _on(standins.scored, ordered.area_under_roc, auc=10),
+        "auc_by_model": _on(
+            standins.scored_by_ranges, lambda df: ordered.area_under_roc(df, by=("model",)), auc=10
+        ),
         "metrics_long": _on(_two_models, _metrics_long),
         "model_winner": _on(
             _two_models, lambda df: evaluate.model_winner(_metrics_long(df), *MODELS)

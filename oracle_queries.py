@@ -163,15 +163,23 @@ CLASS_METRICS = f"""
         FROM ({SCORED}), (VALUES (0), (1)) k(class) GROUP BY model, class)
   WHERE actual > 0 GROUP BY model"""
 
-AUC = f"""
+def _auc(scored: str) -> str:
+    return f"""
   SELECT model, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc
   FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY score
                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
         FROM (SELECT model, score, CAST(sum(label) AS DOUBLE) AS pos,
                      CAST(sum(1 - label) AS DOUBLE) AS neg
-              FROM ({SCORED}) GROUP BY model, score))
+              FROM ({scored}) GROUP BY model, score))
   GROUP BY model"""
 
+
+AUC = _auc(SCORED)
+SCORED_BY_RANGES = """
+  SELECT CAST(event_type = 'purchase' AS INTEGER) AS label, model,
+         CASE model WHEN 'wide' THEN value WHEN 'narrow' THEN value / 1048576 + 0.5 ELSE -value * 1024 END AS score
+  FROM events, (VALUES ('wide'), ('narrow'), ('turned')) m(model)"""
+
 METRICS_LONG = " UNION ALL ".join(
     f"SELECT model, '{m}' AS metric, {_r(m)} AS value FROM ({CLASS_METRICS}) JOIN ({AUC}) USING (model)"
     for m in ("accuracy", "auc", "precision", "recall", "f1")
@@ -226,6 +234,18 @@ ORACLES: dict[str, str] = {
         SELECT path, CAST(regexp_extract(path, 'volume_([0-9]+)_slice_([0-9]+)', 1) AS BIGINT) AS volume_id,
                CAST(regexp_extract(path, 'volume_([0-9]+)_slice_([0-9]+)', 2) AS BIGINT) AS slice_idx
         FROM (SELECT 'data/volume_' || volume_id || '_slice_' || slice || '.h5' AS path FROM ({SLICE_META}))""",
+    "slice_listing": "SELECT vec_id // 2 AS volume_id, vec_id AS slice_idx FROM embeddings",
+    "clustered_slices": f"""
+        SELECT vec_id // 2 AS volume_id, vec_id AS slice_idx, 4 AS h, 4 AS w, 48 AS mask_size,
+               {_r("list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE)))")} AS total
+        FROM embeddings""",
+    "clustered_features": f"""
+        SELECT m.*, f.n_slices, f.total_tumour_voxels AS union_voxels, f.flair_mean, f.centroid_x
+        FROM ({META_FEATURES}) m JOIN ({ALL_FEATURES}) f USING (volume_id)""",
+    "mixed_types": """
+        SELECT CASE WHEN vec_id % 3 = 0 THEN 'double' ELSE 'float' END AS image_type,
+               CASE WHEN vec_id % 3 = 0 THEN 'int32' ELSE 'int8' END AS mask_type, count(*) AS n_slices
+        FROM embeddings GROUP BY ALL""",
     "csv_roundtrip": SLICE_META,
     "intensity_features": INTENSITY,
     "intensity_features_wide": INTENSITY_WIDE,
@@ -244,6 +264,15 @@ ORACLES: dict[str, str] = {
             FROM (SELECT volume_id, slice_idx, {GRADED.format(c=c)} AS v FROM ({PIXELS})) GROUP BY volume_id, slice_idx"""
         for c in range(3)
     ),
+    "mask_values_per_volume": f"""
+        SELECT volume_id, string_agg(DISTINCT v, ',' ORDER BY v) AS mask_values
+        FROM (SELECT volume_id, unnest([{", ".join(GRADED.format(c=c) for c in range(3))}]) AS v FROM ({PIXELS}))
+        GROUP BY volume_id""",
+    "mask_values_per_volume_channel": " UNION ALL ".join(
+        f"""SELECT volume_id, {c} AS channel, string_agg(DISTINCT v, ',' ORDER BY v) AS mask_values
+            FROM (SELECT volume_id, {GRADED.format(c=c)} AS v FROM ({PIXELS})) GROUP BY volume_id"""
+        for c in range(3)
+    ),
     "active_pixels": f"""
         SELECT volume_id, slice_idx, {", ".join(f"count(*) FILTER (WHERE a{c}) AS active_ch{c}" for c in range(3))}
         FROM ({PIXELS}) GROUP BY volume_id, slice_idx""",
@@ -395,6 +424,7 @@ ORACLES: dict[str, str] = {
         SELECT model, {", ".join(f"{_r(m)} AS {m}" for m in ("accuracy", "precision", "recall", "f1"))}
         FROM ({CLASS_METRICS})""",
     "auc_exact": f"SELECT round(auc, 10) AS auc FROM ({AUC}) WHERE model = 'value > 100'",
+    "auc_by_model": f"SELECT model, round(auc, 10) AS auc FROM ({_auc(SCORED_BY_RANGES)})",
     "metrics_long": METRICS_LONG,
     "model_winner": f"""
         SELECT metric, first_value, second_value,

@@ -94,3 +94,26 @@ def test_median_of_many_rows_without_a_window_over_them(spark):
         for line in plan.split("\n"):
             if "Window [" in line and "value#" in line:
                 assert "[bucket#" in line
+
+
+def test_every_group_is_cut_at_quantiles_of_its_own(spark):
+    rng = np.random.default_rng(4)
+    ranges = {f"m{i}": (10.0 ** (3 * i - 9), 5.0 * i) for i in range(7)}
+    rows = [(m, float(at + width * v), float(v > 0.3)) for m, (width, at) in ranges.items() for v in rng.normal(0, 1, 400)]
+    df = spark.createDataFrame(rows, "model string, score double, label double").repartition(5)
+    found = ordered.with_group_bucket(df, "score", ("model",), 8)
+    sizes = found.groupBy("model", "bucket").count().collect()
+    assert {r.model for r in sizes} == set(ranges) and len(sizes) == 7 * 8
+    assert all(30 <= r["count"] <= 70 for r in sizes)
+    by_score = found.orderBy("model", "score").collect()
+    assert all(a.bucket <= b.bucket for a, b in zip(by_score, by_score[1:]) if a.model == b.model)
+    areas = {r.model: r.auc for r in ordered.area_under_roc(df, by=("model",)).collect()}
+    for model in ranges:
+        scores, labels = np.array([r[1:] for r in rows if r[0] == model]).T
+        assert areas[model] == pytest.approx(auc_by_pairs(scores, labels), abs=1e-12)
+
+
+def test_groups_without_a_name_are_groups(spark):
+    rows = [(None, 0.1, 0.0), (None, 0.9, 1.0), ("b", 0.9, 0.0), ("b", 0.1, 1.0)]
+    df = spark.createDataFrame(rows, "model string, score double, label double")
+    assert {r.model: r.auc for r in ordered.area_under_roc(df, by=("model",)).collect()} == {None: 1.0, "b": 0.0}

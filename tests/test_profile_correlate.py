@@ -133,3 +133,45 @@ def test_scalars(spark):
     assert [tuple(r) for r in encoded.collect()] == [(1, 1), (0, 0), (None, 0)]
     assert [r[0] for r in df.select(decode_label(F.col("v"), ("LGG", "HGG"))).collect()] == ["HGG", "LGG", None]
     assert [r[0] for r in df.select(safe_ratio(F.lit(3), F.col("v"))).collect()] == [3.0, 0.0, 1.5]
+
+
+@pytest.mark.parametrize("method", ["listwise", "pairwise"])
+@pytest.mark.parametrize("tile", [1, 3, 5])
+def test_tiles_change_no_cell(spark, monkeypatch, tile, method):
+    rng = np.random.default_rng(tile)
+    data = rng.normal(size=(80, 8)) @ rng.normal(size=(8, 8))
+    rows = [tuple(None if rng.random() < 0.05 else float(v) for v in line) for line in data]
+    names = [f"c{i}" for i in range(8)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    expected = cells(correlate.pearson_matrix(df, names, method, digits=None))
+    monkeypatch.setattr(correlate, "TILE", tile)
+    monkeypatch.setattr(correlate, "VALUES", 20)
+    got = cells(correlate.pearson_matrix(df, names, method, digits=None))
+    assert got.keys() == expected.keys() and len(got) == 64
+    assert all(got[k] == pytest.approx(expected[k], abs=1e-12) for k in got)
+
+
+def test_many_columns_in_tiles(spark, monkeypatch, tmp_path):
+    """Pairs come from a range: the plan holds no list of them."""
+    monkeypatch.setattr(correlate, "TILE", 64)
+    width = 150
+    names = [f"c{i}" for i in range(width)]
+    data = np.random.default_rng(2).normal(size=(40, width)).round(3)
+    data[:, 7] = 2.5
+    spark.createDataFrame(data.tolist(), names).write.parquet(str(tmp_path / "wide"))
+    found = correlate.pearson_matrix(spark.read.parquet(str(tmp_path / "wide")), names, digits=None)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (0, 22500" in plan and plan.count("MapInArrow") == 6
+    with np.errstate(invalid="ignore"):
+        expected = np.corrcoef(data.T)
+    got = cells(found)
+    assert len(got) == width * width
+    for i in range(0, width, 7):
+        for j in range(width):
+            cell = got[names[i], names[j]]
+            if i == j:
+                assert cell == 1.0
+            elif 7 in (i, j):
+                assert cell is None
+            else:
+                assert cell == pytest.approx(expected[i, j], abs=1e-9)

@@ -218,3 +218,35 @@ def test_generated_methods_stay_within_the_jit_limit(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
     assert 0 < max(sizes) < 8000  # beyond that the JVM does not compile a method
+
+
+def test_mask_values_over_rows(spark):
+    rng = np.random.default_rng(8)
+    domain = np.array([-128, -65, -64, -1, 0, 1, 2, 4, 63, 64, 127])
+    rows, expected, by_channel = [], {}, {}
+    for volume in range(6):
+        for s in range(20 if volume else 3):
+            mask = rng.choice(domain[: 2 + 2 * volume], 12) if volume < 5 else np.array([], int)
+            rows.append((volume, s, 2, 2, [], mask.tolist()))
+            expected.setdefault(volume, set()).update(mask.tolist())
+            for c in range(3):
+                by_channel.setdefault((volume, c), set()).update(mask[c::3].tolist())
+    rows += [(7, 0, 2, 2, [], None), (8, 0, 2, 2, [], [3, None, 3]), (8, 1, 2, 2, [], [-2, 3, 3])]
+    expected |= {7: set(), 8: {3, -2}}
+    by_channel |= {(7, c): set() for c in range(3)} | {(8, 0): {3, -2}, (8, 1): {3}, (8, 2): {3}}
+    df = spark.createDataFrame(rows, TENSOR_SLICES).repartition(5)
+    shown = lambda values: ",".join(map(str, sorted(values)))
+    got = {r.volume_id: r.mask_values for r in tensors.mask_values(df).collect()}
+    assert got == {v: shown(values) for v, values in expected.items()}
+    got = {(r.volume_id, r.channel): r.mask_values for r in tensors.mask_values(df, per_channel=True).collect()}
+    assert got == {key: shown(values) for key, values in by_channel.items()}
+    (whole,) = tensors.mask_values(df, by=()).collect()
+    assert whole.mask_values == shown(set().union(*expected.values()))
+    assert tensors.mask_values(df.where("false"), by=()).first().mask_values == ""
+
+
+def test_bitmaps_are_merged_before_the_exchange(spark):
+    df = make_slices(spark, random_slices())
+    plan = tensors.mask_values(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bit_or") > plan.index("Exchange")  # below it in the plan
+    assert "ObjectHashAggregate" not in plan

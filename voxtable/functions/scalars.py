@@ -64,6 +64,10 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 
 def all_present(df: DataFrame, names: list[str]) -> Column:
+    """True for rows with all of the columns. Few are single conditions, which can be pushed down;
+    many are one, since a plan with thousands of nested ones is too deep."""
+    if len(names) > 100:
+        return ~F.exists(F.array(*[is_missing(df, n) for n in names]), lambda missing: missing)
     return reduce(and_, [~is_missing(df, n) for n in names], F.lit(True))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,11 @@ def pearson_matrix(
     columns are present. Cells with fewer than two rows or a constant column are NULL, the
     diagonal is 1.
 
-    Two scans and one path for any number of columns. The first takes mean, deviation and range of
-    every column; the second adds up the products of standardised values, a batch of rows at a
-    time. A task hands over one row for each pair of columns, whatever its number of rows.
+    One scan takes mean, deviation and range of every column; then the products of standardised
+    values are added up, a batch of rows at a time, in tiles of ``TILE`` columns by as many. A task
+    holds the sums of one pair of tiles and reads the columns of these two, so that its memory does
+    not grow with the number of columns; up to ``TILE`` columns are one tile and one scan. A task
+    hands over one row for each pair of columns, whatever its number of rows.
     """
     if method not in ("listwise", "pairwise"):
         raise ValueError(f"method must be 'listwise' or 'pairwise', not {method!r}")
@@ -49,8 +52,8 @@ def pearson_matrix(
     return cells if digits is None else cells.withColumn("corr", F.round("corr", digits))
 
 
-def _standardised(df: DataFrame, columns: list[str]) -> Column:
-    """Values as one array, less the mean and in units of the deviation; a constant is all zero."""
+def _standardised(df: DataFrame, columns: list[str]) -> list[Column]:
+    """Values less the mean and in units of the deviation; a constant is all zero."""
     values = {c: _present(df, c) for c in columns}
     x = F.col("x")
     spread = [F.stddev_pop(x).alias("std"), (F.max(x) - F.min(x)).alias("range")]
@@ -62,41 +65,65 @@ def _standardised(df: DataFrame, columns: list[str]) -> Column:
         varies = bool(std) and stats[name]["range"] > 0
         return (values[name] - F.lit(mean)) / F.lit(std) if varies else values[name] * 0.0
 
-    return F.array(*[scaled(c) for c in columns])
+    return [scaled(c) for c in columns]
 
 
 PAIR_SUMS = ("n", "x", "y", "xx", "yy", "xy")
+TILE = 512  # columns; the sums of a pair of tiles take 13 MB
+VALUES = 1 << 21  # numbers that are multiplied at a time
 
 
 def _pair_sums(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(a, b, n, x, y, xx, yy, xy)`` for every pair of column positions ``a < b``: sums over the
     rows in which both are present."""
     ship_package(df.sparkSession)
-    size = len(columns)
-    first, second = np.triu_indices(size, 1)
+    scaled = _standardised(df, columns)
+    tiles = [range(i, min(i + TILE, len(columns))) for i in range(0, len(columns), TILE)]
+    partial = [
+        _tile_sums(df, scaled, left, right)
+        for i, left in enumerate(tiles)
+        for right in tiles[i:]
+    ]
+    sums = reduce(DataFrame.union, partial)
+    return sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in PAIR_SUMS])
+
+
+def _tile_sums(df: DataFrame, scaled: list[Column], left: range, right: range) -> DataFrame:
+    """The sums of one task's rows for the columns of two tiles, which may be the same."""
+    same = left == right
+    width = len(left) + (0 if same else len(right))
+    if same:
+        first, second = np.triu_indices(len(left), 1)
+    else:
+        first, second = (x.ravel() for x in np.indices((len(left), len(right))))
+    a, b = first + left.start, second + right.start
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(PAIR_SUMS), size, size))
+        total = np.zeros((len(PAIR_SUMS), len(left), len(right)))
         for batch in batches:
             flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            z = flat.astype(np.float64).reshape(-1, size)
-            there = (~np.isnan(z)).astype(np.float64)
-            z = np.where(np.isnan(z), 0.0, z)
-            squares = z * z
-            total[0] += there.T @ there
-            total[1] += z.T @ there
-            total[2] += there.T @ z
-            total[3] += squares.T @ there
-            total[4] += there.T @ squares
-            total[5] += z.T @ z
+            rows = flat.astype(np.float64, copy=False).reshape(-1, width)
+            step = max(1, VALUES // width)
+            for at in range(0, len(rows), step):
+                z = rows[at : at + step]
+                there = (~np.isnan(z)).astype(np.float64)
+                z = np.where(np.isnan(z), 0.0, z)
+                x, x_there = z[:, : len(left)], there[:, : len(left)]
+                y, y_there = z[:, width - len(right) :], there[:, width - len(right) :]
+                total[0] += x_there.T @ y_there
+                total[1] += x.T @ y_there
+                total[2] += x_there.T @ y
+                total[3] += (x * x).T @ y_there
+                total[4] += x_there.T @ (y * y)
+                total[5] += x.T @ y
         sums = [pa.array(total[i][first, second]) for i in range(len(PAIR_SUMS))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(first, pa.int32()), pa.array(second, pa.int32()), *sums], ["a", "b", *PAIR_SUMS]
+            [pa.array(a, pa.int32()), pa.array(b, pa.int32()), *sums], ["a", "b", *PAIR_SUMS]
         )
 
+    used = [scaled[i] for i in (left if same else [*left, *right])]
     schema = "a int, b int, " + ", ".join(f"{c} double" for c in PAIR_SUMS)
-    partial = df.select(_standardised(df, columns).alias("z")).mapInArrow(add_up, schema)
-    return partial.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in PAIR_SUMS])
+    return df.select(F.array(*used).alias("z")).mapInArrow(add_up, schema)
 
 
 def _cells(sums: DataFrame, columns: list[str]) -> DataFrame:
@@ -110,20 +137,17 @@ def _cells(sums: DataFrame, columns: list[str]) -> DataFrame:
     bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))
     found = sums.select("a", "b", F.when(varies, bounded).alias("corr"))
 
-    places = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    upper = F.inline(
-        F.array(*[F.struct(F.lit(i).alias("a"), F.lit(j).alias("b")) for i, j in places])
+    # All cells come from a range; a pair is found from both of its sides.
+    width = len(columns)
+    every = sums.sparkSession.range(width * width).select(
+        F.expr(f"cast(id div {width} as int)").alias("row"), F.expr(f"cast(id % {width} as int)").alias("col")
     )
-    upper = sums.sparkSession.range(1).select(upper).join(found, ["a", "b"], "left")
+    here = (F.least("row", "col") == F.col("a")) & (F.greatest("row", "col") == F.col("b"))
     name = F.array(*[F.lit(c) for c in columns])
-    one = F.col("a") == F.col("b")
-    here, mirrored = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
-    cells = F.when(one, F.array(here)).otherwise(F.array(here, mirrored))
-    corr = F.when(one, 1.0).otherwise(F.col("corr")).alias("corr")
-    return upper.select(corr, F.inline(cells)).select(
-        F.get(name, F.col("a")).alias("feature_a"),
-        F.get(name, F.col("b")).alias("feature_b"),
-        "corr",
+    return every.join(found, here, "left").select(
+        F.get(name, F.col("row")).alias("feature_a"),
+        F.get(name, F.col("col")).alias("feature_b"),
+        F.when(F.col("row") == F.col("col"), 1.0).otherwise(F.col("corr")).alias("corr"),
     )
 
 

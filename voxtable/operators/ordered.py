@@ -99,6 +99,25 @@ def with_bucket(df: DataFrame, column: str, splits: list[float]) -> DataFrame:
     return bucketizer.transform(df).withColumn("bucket", F.col("bucket").cast("int"))
 
 
+def with_group_bucket(df: DataFrame, column: str, by: tuple[str, ...], buckets: int) -> DataFrame:
+    """Add ``bucket``: within a group a function of the value that never decreases with it.
+
+    Every group is cut at quantiles of its own, so its values are shared out evenly wherever they
+    lie. A group's cuts are one row; they are joined to the rows, and no group is gathered.
+    """
+    if buckets < 2:
+        return df.withColumn("bucket", F.lit(0))
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = F.array_distinct(F.percentile_approx(column, shares, 4 * buckets)).alias("cuts")
+    below = F.size(F.filter("cuts", lambda cut: cut <= F.col(column))).alias("bucket")
+    if not by:
+        return df.withColumn("cuts", df.agg(cuts).scalar()).select(*df.columns, below)
+    keys = [f"group {i}" for i in range(len(by))]
+    groups = df.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)]).agg(cuts)
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`{k}`")) for c, k in zip(by, keys)]
+    return df.join(groups, same).select(*df.columns, below)
+
+
 def area_under_roc(
     scored: DataFrame, score: str = "score", label: str = "label", by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -107,6 +126,8 @@ def area_under_roc(
     The share of (positive, negative) pairs that the score puts in order, ties counting one half.
     Rows are counted per score first: a score shared by a third of the rows is one row. The
     running count of negatives is a window inside each bucket plus the total of the buckets below.
+    Buckets are cut for each group, by as many scores each, so that a model whose scores lie close
+    together is spread as well as any other.
     NULL if one class is absent. A missing score and a label other than 0 and 1 are errors, so
     that the area and the confusion matrix describe the same rows.
     """
@@ -122,7 +143,8 @@ def area_under_roc(
         F.count_if(F.col("label") == 1).cast("double").alias("pos"),
         F.count_if(F.col("label") == 0).cast("double").alias("neg"),
     )
-    ties = with_bucket(ties, "score", range_splits(rows, "score"))
+    buckets = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ties = with_group_bucket(ties, "score", by, buckets)
 
     inside = Window.partitionBy(*by, "bucket").orderBy("score")
     before = F.sum("neg").over(inside) - F.col("neg")

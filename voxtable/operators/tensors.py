@@ -198,17 +198,68 @@ def mask_values_per_slice(slices: DataFrame) -> DataFrame:
     )
 
 
+def _of_channel(c: int, layout: TensorLayout) -> Column:
+    return F.filter("mask", lambda _, i: i % layout.channels == c)
+
+
 def mask_values_per_channel(slices: DataFrame, layout: TensorLayout = _DEFAULT) -> DataFrame:
     """Sorted distinct mask values per slice and channel, comma-joined (D16). No shuffle."""
 
     def values(c: int) -> Column:
-        own = F.filter("mask", lambda _, i: i % layout.channels == c)
-        return _joined(F.array_sort(F.array_distinct(own)))
+        return _joined(F.array_sort(F.array_distinct(_of_channel(c, layout))))
 
     rows = [(F.lit(c), values(c)) for c in range(layout.channels)]
     return slices.select("volume_id", "slice_idx", long_rows(rows, ["channel", "mask_values"]))
 
 
+def _bitmap(values: Column) -> list[Column]:
+    """The distinct values of a ``tinyint`` array as bits of four 64-bit words."""
+    distinct = F.array_distinct(values)
+
+    def word(w: int) -> Column:
+        def with_bit(bits: Column, v: Column) -> Column:
+            at = v.cast("int") + 128 - 64 * w
+            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
+            return F.when(at.between(0, 63), bits.bitwiseOR(bit)).otherwise(bits)
+
+        return F.aggregate(distinct, F.lit(0).cast("bigint"), with_bit)
+
+    return [word(w) for w in range(4)]
+
+
+def _of_bitmap(words: list[Column]) -> Column:
+    """The values whose bits are set, in ascending order."""
+    values = F.sequence(F.lit(-128), F.lit(127))
+    word, place = (lambda v: F.floor((v + 128) / 64).cast("int")), lambda v: F.pmod(v + 128, F.lit(64))
+    held = F.filter(values, lambda v: F.getbit(F.get(F.array(*words), word(v)), place(v)) == 1)
+    return _joined(held)
+
+
+def mask_values(
+    slices: DataFrame,
+    by: tuple[str, ...] = ("volume_id",),
+    per_channel: bool = False,
+    layout: TensorLayout = _DEFAULT,
+) -> DataFrame:
+    """Sorted distinct mask values over all slices of a group, comma-joined.
+
+    ``by`` may be the volume, several columns, or empty for the whole table; ``per_channel`` tells
+    the channels apart. A slice becomes a bitmap over the 256 values a mask can have, and bitmaps are
+    merged before the exchange: what is shuffled is four numbers a task, group and channel, however
+    many slices a group has. Empty masks and missing values add nothing.
+    """
+    if per_channel:
+        rows = [(F.lit(c), *_bitmap(_of_channel(c, layout))) for c in range(layout.channels)]
+        names = ["channel", *[f"w{i}" for i in range(4)]]
+        bits, keys = slices.select(*by, long_rows(rows, names)), [*by, "channel"]
+    else:
+        words = [w.alias(f"w{i}") for i, w in enumerate(_bitmap(F.col("mask")))]
+        bits, keys = slices.select(*by, *words), list(by)
+    merged = bits.groupBy(*keys).agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(4)])
+    found = [F.coalesce(F.col(f"w{i}"), F.lit(0).cast("bigint")) for i in range(4)]
+    return merged.select(*keys, _of_bitmap(found).alias("mask_values"))
+
+
 def channel_counts(
     slices: DataFrame,
     layout: TensorLayout = _DEFAULT,

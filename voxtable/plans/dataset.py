@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxtable.operators import enrich, metadata, tensors
 from voxtable.schemas import TensorLayout, feature_table_schema
+from voxtable.sources.tables import materialize
 
 
 def build_reported(
@@ -28,8 +29,8 @@ def build_reported(
     rows before the attribute is imputed, ``skipped_volumes`` the volumes without tensor slices,
     ``rows_without_volume`` the input rows that have no volume id.
 
-    The median is taken over the ids of the volumes and their attributes, so that neither the
-    tensors nor the joined table are read for it. ``fit_where`` limits it to some volumes, those of
+    The median is taken over the ids of the volumes and their attributes, which are written to the
+    work folder, so that neither the tensors nor the joined table are read for it. ``fit_where`` limits it to some volumes, those of
     the training split, say. ``strict`` refuses subjects without a number at the end of their name;
     ``whole_mask`` is that of ``volume_features``.
     """
@@ -44,7 +45,8 @@ def build_reported(
         return enrich.attach_attribute(labelled, attributes)
 
     ids = metadata.volume_ids_of_both(slice_meta, tensor_slices)
-    known = completed(ids)
+    # One small row for each volume, which the median reads several times over.
+    known = materialize(completed(ids))
     fitted = known if fit_where is None else known.where(fit_where)
     joined = completed(enrich.merge_features(volumes, statistics))
     imputed = enrich.impute_median(joined, "age", approx_median, fit_on=fitted)

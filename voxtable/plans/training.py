@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from voxtable.functions.scalars import numeric_columns
 from voxtable.operators import evaluate, models, prepare
 from voxtable.schemas import CLASS_NAMES
-from voxtable.sources.tables import cached, materialize, write_csv
+from voxtable.sources.tables import cached, materialize, work_tables, write_csv
 
 # The published model names.
 RANDOM_FOREST, BOOSTED_TREES = "Random Forest", "GBT"
@@ -50,7 +50,7 @@ def train_and_compare(
     All models, two unless others are given, are cross-validated on the training rows, each over
     its grid if it has one, and judged on the hold-out rows. ``dropped_rows`` tells how many rows
     had no label or a missing feature and took no part. The training frame and the scored hold-out
-    rows stay cached inside the ``with`` block.
+    rows stay cached inside the ``with`` block, at whose end the tables written on the way go.
     """
     spark = clean.sparkSession
     features = features or numeric_columns(clean, exclude=(key, label))
@@ -58,7 +58,8 @@ def train_and_compare(
         RANDOM_FOREST: models.random_forest(),
         BOOSTED_TREES: models.boosted_trees(),
     }
-    with cached(training_frame(clean, key, features, F.col(label), seed)) as frame:
+    label_of = F.col(label)
+    with work_tables(spark), cached(training_frame(clean, key, features, label_of, seed)) as frame:
         train = frame.where(F.col("split") == "train")
         test = frame.where(F.col("split") == "test")
         fitted = models.cross_validate_all(train, estimators, parallelism, grids)

@@ -105,6 +105,18 @@ def scored(
     )
 
 
+def scored_by_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events scored by models whose scores lie in very different ranges."""
+    value = F.col("value")
+    scores = {"wide": value, "narrow": value / 1048576 + 0.5, "turned": -value * 1024}
+    models = F.array(
+        *[F.struct(F.lit(m).alias("model"), s.alias("score")) for m, s in scores.items()]
+    )
+    return table(spark, sf_dir, "events").select(
+        (F.col("event_type") == "purchase").cast("double").alias("label"), F.inline(models)
+    )
+
+
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents with counts over their whole text as features.
 
