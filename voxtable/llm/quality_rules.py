@@ -7,6 +7,7 @@ rule sees only the documents that no rule before it has rejected.
 from __future__ import annotations
 
 import operator
+import re
 import string
 import time
 from collections.abc import Callable, Iterator
@@ -21,6 +22,12 @@ from voxtable.llm.frames import WORD_BREAKS, text_of, with_results
 from voxtable.ship import ship_package
 
 SYMBOLS = "#*$%&|<>"
+# Letters of scripts written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Kana, Han.
+UNSPACED_RANGES = (
+    "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\U00020000-\U0003ffff"
+)
+UNSPACED = re.compile(f"[{UNSPACED_RANGES}]+")
 WINDOW = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -92,6 +99,7 @@ MEASURES: dict[str, Callable[[Document], object]] = {
     "n_letters": lambda d: _among(d.text, string.ascii_letters),
     "n_stutters": lambda d: sum(map(operator.eq, d.words, d.words[1:])),
     "n_distinct": lambda d: len(set(d.words)),
+    "n_unspaced": lambda d: 0 if d.text.isascii() else sum(map(len, UNSPACED.findall(d.text))),
 }
 
 
@@ -111,7 +119,9 @@ BASE = (
 #: The rules of the method. All thresholds are far from running prose.
 RULES = (
     Rule("symbols", lambda d: 10 * d.n_symbols > d.n_words),
-    Rule("word_length", lambda d: not 2 * d.n_words <= d.word_chars <= 20 * d.n_words),
+    Rule("short_words", lambda d: d.word_chars < 2 * d.n_words),
+    # Between white space of scripts written without spaces lie sentences, not words.
+    Rule("long_words", lambda d: d.word_chars > 20 * d.n_words and 2 * d.n_unspaced <= d.word_chars),
     Rule("duplicate_lines", lambda d: 2 * d.n_dup_lines > d.n_lines),
     Rule("capitals", lambda d: 2 * d.n_capitals > d.n_letters),
     Rule("stutter", lambda d: 5 * d.n_stutters > d.n_words),
@@ -134,12 +144,13 @@ def cascade_order(texts: list[str], rules: tuple[Rule, ...]) -> list[Rule]:
 
 
 def sampled_texts(df: DataFrame, text_col: str, rows: int, chars: int) -> list[str]:
-    """Texts to measure costs on: ``rows`` rows at most, each cut to ``chars`` characters.
+    """Texts to measure costs on: ``rows`` rows drawn from all, each cut to ``chars`` characters.
 
     The sample steers the order of the rules and no verdict.
     """
     text = F.substring(text_of(text_col), 1, chars).alias("text")
-    return [row.text for row in df.select(text).limit(rows).collect()]
+    drawn = df.select(text, F.rand(seed=7).alias("draw")).orderBy("draw").limit(rows)
+    return [row.text for row in drawn.collect()]
 
 
 def passes(document: Document, ordered: list[Rule]) -> bool:

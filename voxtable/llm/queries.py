@@ -226,6 +226,7 @@ QUALITY_RULES = r"""
            CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
            coalesce(n_repeat_words, 0) AS n_repeat_words,
+           length(regexp_replace(text, '[^{UNSPACED}]', '', 'g')) AS n_unspaced,
            length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
            length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
            len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_stutters
@@ -234,12 +235,12 @@ QUALITY_RULES = r"""
          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
               OR 10 * n_symbols > n_words
-              OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+              OR word_chars < 2 * n_words OR word_chars > 20 * n_words AND 2 * n_unspaced <= word_chars
               OR 2 * n_dup_lines > n_lines
               OR 2 * n_capitals > n_letters
               OR 5 * n_stutters > n_words
               OR len(list_distinct(words)) * len(list_distinct(words)) < n_words) AS kept
-  FROM counts"""
+  FROM counts""".replace("{UNSPACED}", quality_rules.UNSPACED_RANGES)
 
 
 def _license_rules(sequence: str) -> tuple[str, str]:
