@@ -1,6 +1,7 @@
 """License scans of the standard headers, however they are wrapped, indented or commented."""
 
 import textwrap
+import time
 
 import pytest
 
@@ -163,3 +164,29 @@ def test_prose_around_a_notice(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     rows = license_scan.scan_licenses(docs).orderBy("i").collect()
     assert [r.licenses for r in rows] == ["Apache-2.0", "", ""]
+
+
+NOTICE = "Licensed under the Apache License, Version 2.0"
+
+
+@pytest.mark.parametrize(
+    "stretch",
+    [" ", "\t", "\n", "# ", "*", "-", "#", "/", "<!-- ", "-->", " \n", "\n# ", "\n - ", ".", ". ", "!", ";", "; ", "(", ")", "| ", "1. ", "\n1. ", "\r\n", "dnl ", "\ndnl "],
+)
+def test_long_stretches_of_marks_and_blanks(spark, stretch):
+    """Linear in the length of a stretch: in the middle of a line, at its start, at its end, and alone."""
+    long = stretch * (100_000 // len(stretch))
+    texts = [f"A license{long}here", f"{long}{NOTICE}.\n", f"{NOTICE}.\n{long}", f"{NOTICE}{long}\n\nx", long + " license"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    start = time.monotonic()
+    rows = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    assert time.monotonic() - start < 30
+    assert len(rows) == len(texts)
+    assert rows[2].licenses == "Apache-2.0"
+
+
+def test_a_long_holder_name(spark):
+    name = "The " + "Very " * 200 + "Long Foundation"
+    text = f"Neither the name of {name} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    docs = spark.createDataFrame([(text,)], "text string")
+    assert license_scan.scan_licenses(docs).first().sentence_ids == "BSDendorse"

@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.llm import helpers
@@ -206,7 +207,7 @@ MIT = (
     [
         ("Some prose. Released under the MIT License.", "MITref", "MIT", 0),
         (MIT, "MITgrant,MITnotice", "MIT", 0),
-        ("# Licensed under the Apache License,\n# Version 2.0.", "", "", 0),
+        ("# Licensed under the Apache License,\n# Version 2.0.", "Apache2ref", "Apache-2.0", 0),
         ("Licensed under the Apache License, Version 2.0.\nAll rights reserved.\n",
          "Apache2ref,AllRights", "Apache-2.0,all-rights-reserved", 0),
         ("You may not use this file except in compliance with the License.", "Apache2use", "", 1),
@@ -235,3 +236,19 @@ def test_license_lines_of_documents(spark):
         expected = {name for line, name in lines.items() if line in texts[row.doc_id]}
         assert set(filter(None, row.licenses.split(","))) == expected
     assert sum(bool(r.licenses) for r in rows) > 10
+
+
+def test_texts_without_spaces_are_no_long_words(spark):
+    """Clean documents in Chinese, Japanese and Thai stay; junk of long words goes."""
+    draw = np.random.default_rng(6)
+
+    def prose(first, last):
+        lines = ["".join(chr(c) for c in draw.integers(first, last, 200)) for _ in range(12)]
+        return "\n".join(lines)
+
+    texts = [prose(0x4E00, 0x9FA0), prose(0x3041, 0x3097), prose(0x0E01, 0x0E2F), prose(0x61, 0x7B), prose(0xC0, 0xD7)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = helpers.by_id(quality_rules.judge_documents(df))
+    assert [rows[i].kept for i in range(5)] == [True, True, True, False, False]
+    assert not any(rows[i].base_failed for i in range(5))
+    assert {r.doc_id for r in quality_rules.filter_documents(df).collect()} == {0, 1, 2}

@@ -150,13 +150,17 @@ END = "\x01"
 QUOTES = r"[\"'`]+"
 FILLERS = r"[*#/\\.\x20\x09-\x0D]+"
 # Comment marks, indentation and numbers of list items at the start of a line, comment ends at its end.
-MARKS = r"[*#/;%>!|{}-]+|<!-+|\(\*|(?:dnl|DNL|REM|rem|@rem)(?=[\x20\t])"
-ITEM = r"(?:\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)]|[*•·-])[\x20\t]+"
-LINE_STARTS = rf"(?md)^[\x20\t]*(?:(?:{MARKS})[\x20\t]*)*(?:{ITEM})?"
-LINE_STOPS = r"(?md)[\x20\t]*(?:\*+/|-+>|\*\)|[*#/|]+)?[\x20\t\r]*$"
+# All of these run over a stretch of a class once, without a way back: a pattern that may give back
+# what it has taken is slow, or out of stack, on long stretches of blanks and marks.
+MARKS = r"[\x20\t*#/;%>!|{}-]*+"
+OPENING = r"<!-++|\(\*|(?:dnl|DNL|REM|rem|@rem)(?=[\x20\t])"
+ITEM = r"(?:\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)]|[*•·-])[\x20\t]++"
+LINE_STARTS = rf"(?md)^{MARKS}(?:(?:{OPENING}){MARKS})?(?:{ITEM})?"
+ENDING = r"[\x20\t\r*#/|>)-]"
+LINE_STOPS = rf"(?md)(?<!{ENDING}){ENDING}++$"
 # A sentence ends at a full stop, question or exclamation mark before white space or the end (but
 # for "v. 2.0"), and at a blank line.
-CUTS = r"(?<!\b[vV])[.!?]+(?=[\x20\x09-\x0D]|$)|\n(?:[\x20\t\r]*\n)+"
+CUTS = r"(?<![.!?])(?<!\b[vV])[.!?]++(?=[\x20\x09-\x0D]|$)|\n[\x20\t\r]*+\n[\x20\t\r\n]*+"
 # Between two cuts lines and semicolons end pieces. A sentence starts at a piece that is the first,
 # comes after a semicolon or has no small letter at its start, and ends before one.
 SEMICOLON = ";"
@@ -165,11 +169,11 @@ GOES_ON = r"^(?!https?:)[a-z]"
 DROPPED = r"[\"'`“”‘’,;:()<>\[\]]+"
 # Names that differ from text to text.
 HOLDERS = (
-    (r"^neither the names? of .{1,300}? nor the names? of (?:its|their|any|the|other) ?(?:other )?contributors",
+    (r"^neither the names? of .+? nor the names? of (?:its|their|any|the|other) ?(?:other )?contributors",
      "neither the name of the copyright holder nor the names of its contributors"),
-    (r"^this software is provided by .{1,300}? as is and any", "this software is provided by the holders as is and any"),
-    (r"^in no event shall .{1,300}? be liable", "in no event shall the holders be liable"),
-    (r"^to the extent possible under law .{1,300}? (?:has|have) waived", "to the extent possible under law the holders have waived"),
+    (r"^this software is provided by .+? as is and any", "this software is provided by the holders as is and any"),
+    (r"^in no event shall .+? be liable", "in no event shall the holders be liable"),
+    (r"^to the extent possible under law .+? (?:has|have) waived", "to the extent possible under law the holders have waived"),
 )
 HOLDER_WORDS = 60  # in pieces of a word each, so many more may make up a sentence with a name
 SPDX_ID = r"\(*[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?\)*"
