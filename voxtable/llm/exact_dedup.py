@@ -51,10 +51,10 @@ def _is_set(bitmap: Column, bit: Column) -> Column:
     return F.coalesce(value.bitwiseAND(mask) != 0, F.lit(False))
 
 
-def filter_bits(rows: int, bits_per_row: int, max_bytes: int) -> int:
-    """Bits of the filter: a power of two, one block at least and ``8 * max_bytes`` at most."""
+def filter_bits(rows: int, bits_per_row: int) -> int:
+    """Bits of the filter: a power of two, one block at least and as many as there are places for."""
     wanted = max(BLOCK_BITS, rows * bits_per_row)
-    return min(1 << (wanted - 1).bit_length(), 1 << ((8 * max_bytes).bit_length() - 1))
+    return min(1 << (wanted - 1).bit_length(), BLOCK_BITS << 31)
 
 
 def _grouped(
@@ -70,12 +70,14 @@ def _grouped(
     place = F.monotonically_increasing_id()  # stored, so it never changes
     stored = materialize(nested(df, columns, id=column(id_col), sha=digest, place=place))
     total = stored.count()
-    bits = filter_bits(total, bits_per_row, max_filter_bytes)
+    bits = filter_bits(total, bits_per_row)
     hash_ = F.xxhash64("sha")
     found = repeat_filter(stored.select(hash_.alias("hash")), bits)
 
     block, first, second = _positions(hash_, bits)
-    tested = stored.withColumn("block", block).join(F.broadcast(found), "block", "left")
+    # A block's bitmap is one row, so rows of a hot block can be dealt to several tasks.
+    found = F.broadcast(found) if bits <= 8 * max_filter_bytes else found.hint("merge")
+    tested = stored.withColumn("block", block).join(found, "block", "left")
     maybe = _is_set(F.col("bitmap"), first) & _is_set(F.col("bitmap"), second)
     tested = tested.withColumn("maybe", maybe).drop("block", "bitmap")
 
@@ -110,9 +112,9 @@ def mark_duplicates(
     ``group_size``, ``kept`` and ``text_sha256``; an input column of such a name gives way.
 
     The carried columns are stored once with the digest of the text, which is read only once. The
-    filter takes ``bits_per_row`` bits for each row up to ``max_filter_bytes``, which bounds the
-    broadcast; a fuller filter lets more rows through to the exact second step and changes no
-    result. Rows that it rejects have no equal and are neither shuffled nor grouped.
+    filter takes ``bits_per_row`` bits for each row. Up to ``max_filter_bytes`` it is broadcast, and
+    rows that it rejects have no equal and are neither shuffled nor grouped; a larger one is joined
+    block by block, for which all rows are shuffled once, and those that it rejects are not grouped.
     """
     columns = df.columns if carry is None else carry
     return restored(
