@@ -44,7 +44,7 @@ def test_tree_of_whole_fingerprints():
 
 
 @pytest.mark.parametrize(
-    "segments, shard_points, tile_points", [(4, 20_000, 200_000), (4, 200, 100), (2, 300, 100_000)]
+    "segments, shard_points, tile_points", [(4, 20_000, 200_000), (4, 200, 100), (2, 300, 100_000), (4, 100, 20), (4, 5_000, 50)]
 )
 def test_links_connect_what_is_near(spark, segments, shard_points, tile_points):
     points = _clusters()

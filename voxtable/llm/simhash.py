@@ -68,14 +68,26 @@ def _keys(points: np.ndarray, segment: int, segments: int) -> np.ndarray:
 
 
 def _routes(
-    trees: list[vptree.Shards], tiles: dict[int, int], segments: int, radius: int
+    trees: list[vptree.Shards],
+    tiles: dict[int, int],
+    parts: dict[int, int],
+    segments: int,
+    radius: int,
 ):
-    """Rows ``(cell, fingerprint, is_home)``: where a fingerprint is stored, and where it asks.
+    """Rows ``(cell, part, fingerprint, is_home)``: where a fingerprint is stored, and where it asks.
 
     A pair of shards needs only one of both to ask, the one of the lower number. A shard of many
     points is stored in tiles; a fingerprint then asks the tiles after its own, or all tiles of
-    another shard.
+    another shard. A cell that many ask is stored in each of its parts, and a fingerprint asks one.
     """
+    large = np.array(sorted(parts), np.int64)
+    number = np.array([parts[c] for c in large.tolist()], np.int64)
+
+    def parts_of(cells: np.ndarray) -> np.ndarray:
+        if not len(large):
+            return np.ones(len(cells), np.int64)
+        at = np.minimum(np.searchsorted(large, cells), len(large) - 1)
+        return np.where(large[at] == cells, number[at], 1)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,13 +108,21 @@ def _routes(
                 copies = many - own
                 at = np.repeat(np.arange(len(index)), copies)
                 tile = own[at] + np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+                cell, point = shard[at] * MAX_TILES + tile, points[index[at]]
+                stored = is_home[at] & (tile == own[at])
+                of_cell = parts_of(cell)
+                copies = np.where(stored, of_cell, 1)
+                at = np.repeat(np.arange(len(cell)), copies)
+                part = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+                asked = (point[at] % of_cell[at].astype(np.uint64)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(shard[at] * MAX_TILES + tile),
-                        pa.array(points[index[at]].view(np.int64)),
-                        pa.array(is_home[at] & (tile == own[at])),
+                        pa.array(cell[at]),
+                        pa.array(np.where(stored[at], part, asked)),
+                        pa.array(point[at].view(np.int64)),
+                        pa.array(stored[at]),
                     ],
-                    ["cell", "fingerprint", "is_home"],
+                    ["cell", "part", "fingerprint", "is_home"],
                 )
 
     return route
@@ -134,25 +154,33 @@ def near_links(
         vptree.Shards.build(_keys(known, s, segments), shards) if len(known) else vptree.Shards([], 1)
         for s in range(segments)
     ]
-    schema = "cell bigint, fingerprint bigint, is_home boolean"
-    routed = points.mapInArrow(_routes(trees, {}, segments, radius), schema)
-    sizes = routed.where("is_home").groupBy("cell").count()
-    large = sizes.where(F.col("count") > tile_points).collect()  # fewer than rows / tile_points
-    tiles = {r["cell"] // MAX_TILES: -(-r["count"] // tile_points) for r in large}
-    if tiles:
-        routed = points.mapInArrow(_routes(trees, tiles, segments, radius), schema)
+    schema = "cell bigint, part bigint, fingerprint bigint, is_home boolean"
+
+    def routed(tiles: dict[int, int], parts: dict[int, int]) -> DataFrame:
+        return points.mapInArrow(_routes(trees, tiles, parts, segments, radius), schema)
+
+    def larger(cells: DataFrame) -> dict[int, int]:
+        """Cells of more than ``tile_points`` rows, fewer than there are such numbers of rows, and
+        into how many they are split."""
+        sizes = cells.groupBy("cell").count().where(F.col("count") > tile_points)
+        return {r["cell"]: -(-r["count"] // tile_points) for r in sizes.collect()}
+
+    tiles = {c // MAX_TILES: n for c, n in larger(routed({}, {}).where("is_home")).items()}
+    parts = larger(routed(tiles, {}).where("not is_home"))
 
     def link(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values(["is_home", "fingerprint"], ascending=[False, True])
         own = cell["fingerprint"].to_numpy().view(np.uint64)
         segment = int(cell["cell"].iloc[0]) // MAX_TILES // MAX_SHARDS
         keys = _keys(own, segment, segments)
-        roots = vptree.connected(keys, own, int(cell["is_home"].sum()), radius, within)
+        homes, first = int(cell["is_home"].sum()), int(cell["part"].iloc[0]) == 0
+        roots = vptree.connected(keys, own, homes, radius, within, first)
         linked = np.flatnonzero(roots != np.arange(len(own)))
         signed = own.view(np.int64)
         return pd.DataFrame({"a": signed[linked], "b": signed[roots[linked]]})
 
-    return routed.groupBy("cell").applyInPandas(link, "a bigint, b bigint")
+    cells = routed(tiles, parts).groupBy("cell", "part")
+    return cells.applyInPandas(link, "a bigint, b bigint")
 
 
 def _near_groups(

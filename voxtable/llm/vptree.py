@@ -136,12 +136,18 @@ class Forest:
 
 
 def connected(
-    keys: np.ndarray, points: np.ndarray, homes: int, key_radius: int, within: int
+    keys: np.ndarray,
+    points: np.ndarray,
+    homes: int,
+    key_radius: int,
+    within: int,
+    homes_ask: bool = True,
 ) -> np.ndarray:
     """For every position the smallest position that it is connected to.
 
     Points are linked if their distance is ``within`` at most and one of them is among the first
-    ``homes`` positions, the points of the tree; all positions are its queries. Linked points that
+    ``homes`` positions, the points of the tree; all positions are its queries, or unless
+    ``homes_ask`` those behind the points of the tree. Linked points that
     are wanted have keys within ``key_radius``. The tree measures keys until these are all equal,
     and then the points themselves.
 
@@ -150,7 +156,7 @@ def connected(
     """
     rng = np.random.default_rng(11)
     forest = Forest(len(points))
-    waiting = [(np.arange(homes), np.arange(len(points)))]
+    waiting = [(np.arange(homes), np.arange(0 if homes_ask else homes, len(points)))]
     while waiting:
         tree, queries = waiting.pop()
         roots = forest.roots()
