@@ -7,6 +7,7 @@ by half, a small dense layer judges each chunk, and the mean of the judgements i
 from __future__ import annotations
 
 import dataclasses
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -85,27 +86,37 @@ class Network:
 
 
 def chunks_of(text: bytes, most: int) -> list[bytes]:
-    """Up to ``most`` chunks, evenly spread from the first to the last."""
-    starts = list(range(0, max(1, len(text) - HOP), HOP))
-    if len(starts) > most:
-        starts = [starts[round(i * (len(starts) - 1) / (most - 1))] for i in range(most)]
-    return [text[s : s + 2 * HOP] for s in starts]
+    """Up to ``most`` chunks in random order, drawn from the whole text, the same for equal texts."""
+    starts = np.arange(0, max(1, len(text) - HOP), HOP)
+    drawn = np.random.default_rng(zlib.crc32(text)).permutation(starts)[:most]
+    return [text[s : s + 2 * HOP] for s in drawn.tolist()]
+
+
+def _turn(chunks: list[bytes], epoch: int, size: int) -> list[bytes]:
+    """The chunks that an epoch learns from: the next ones, from the start again after the last."""
+    if len(chunks) <= size:
+        return chunks
+    return [chunks[i % len(chunks)] for i in range(epoch * size, (epoch + 1) * size)]
 
 
 def train(
-    documents: list[tuple[list[bytes], int, float]], epochs: int, seed: int = 5
+    documents: list[tuple[list[bytes], int, float]], epochs: int, chunks: int = 6, seed: int = 5
 ) -> Network:
-    """Fit a network to (chunks, label, weight) by Adam on batches of documents."""
+    """Fit a network to (chunks, label, weight) by Adam on batches of documents.
+
+    An epoch takes ``chunks`` chunks of each document, the next one others.
+    """
     rng = np.random.default_rng(seed)
     network = Network.fresh(rng)
     params = network.arrays()
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     size, step = 32, 0
     steps = epochs * -(-len(documents) // size)
-    for _ in range(epochs):
+    for epoch in range(epochs):
         order = rng.permutation(len(documents))
         for begin in range(0, len(order), size):
-            batch = [documents[i] for i in order[begin : begin + size]]
+            drawn = [documents[i] for i in order[begin : begin + size]]
+            batch = [(_turn(parts, epoch, chunks), label, weight) for parts, label, weight in drawn]
             step += 1
             rate = 0.01 * (1 - step / (steps + 1))
             for p, g, m, v in zip(params, _gradients(network, batch), first, second):
@@ -162,7 +173,8 @@ def labelled_sample(
     per_label: int,
     chunks: int,
 ) -> list[tuple[list[bytes], int, float]]:
-    """``per_label`` documents of each label at most, by the hash of their id, some chunks of each.
+    """``per_label`` documents of each label at most, by the hash of their id, with ``chunks`` chunks
+    of each, all of them where a text has no more.
 
     Weighted by how often a label occurs, so that scores are probabilities. Null labels and labels
     other than 0 and 1 are left out; of rows with the same id and label one is used.
@@ -233,9 +245,9 @@ def classify(
     untrained network. An input column with the name of a result column gives way.
     """
     sample = labelled_sample(
-        df, labels.where(is_training), id_col, text_col, label_col, per_label, chunks
+        df, labels.where(is_training), id_col, text_col, label_col, per_label, chunks * epochs
     )
-    network = train(sample, epochs)
+    network = train(sample, epochs, chunks)
     named = df.select(
         F.struct(*[column(c).alias(c) for c in df.columns]).alias("document"),
         text_of(text_col).alias("body"),
