@@ -66,6 +66,46 @@ def test_a_score_covers_the_whole_text():
     assert 0 < network.score(b"") < 1 and 0 < network.score(b"a") < 1
 
 
+@pytest.mark.parametrize("size", [0, 1, 5, 256, 257, 512, 513, 1500])
+def test_score_by_a_plain_forward_pass(size):
+    """Every chunk, filter and byte by itself: what a document's score is made of."""
+    rng = np.random.default_rng(size)
+    network = quality_model.Network.fresh(rng)
+    network.bias[:], network.dense_bias[:], network.out_bias[:] = (
+        rng.normal(0, 0.5, x.shape) for x in (network.bias, network.dense_bias, network.out_bias)
+    )
+    text = rng.integers(32, 127, size).astype(np.uint8).tobytes()
+    data = text or b"\0"
+    hops = -(-len(data) // 256)
+    logits = []
+    for chunk in range(max(1, hops - 1)):
+        tops = np.full(quality_model.FILTERS, -np.inf)
+        for i in range(256 * chunk, min(len(data), 256 * chunk + 512)):
+            seen = [data[i + k] if i + k < len(data) else 0 for k in range(quality_model.WIDTH)]
+            tops = np.maximum(tops, sum(network.taps[k, byte] for k, byte in enumerate(seen)))
+        pooled = [max(0.0, float(t + b)) for t, b in zip(tops, network.bias)]
+        hidden = [
+            max(0.0, sum(p * w for p, w in zip(pooled, network.dense[:, j])) + network.dense_bias[j])
+            for j in range(quality_model.HIDDEN)
+        ]
+        logits.append(sum(h * w for h, w in zip(hidden, network.out)) + network.out_bias[0])
+    expected = 1 / (1 + math.exp(-sum(logits) / len(logits)))
+    assert network.score(text) == pytest.approx(expected, rel=1e-4)
+
+
+def test_epochs_learn_from_all_parts_of_a_text():
+    text = bytes(range(256)) * 40
+    drawn = quality_model.chunks_of(text, 72)
+    assert len(drawn) == 39 and drawn == quality_model.chunks_of(text, 72)
+    assert sorted(drawn) == sorted(text[s : s + 512] for s in range(0, len(text) - 256, 256))
+    turns = [quality_model._turn(drawn, epoch, 6) for epoch in range(12)]
+    assert all(len(t) == 6 for t in turns)
+    long = bytes(np.random.default_rng(1).integers(0, 256, 1_000_000, dtype=np.uint8))
+    parts = [long.find(c) for c in quality_model.chunks_of(long, 72)]
+    assert len(set(parts)) == 72 and min(parts) < 100_000 and max(parts) > 900_000
+    assert quality_model.chunks_of(b"", 72) == [b""] and quality_model._turn([b"x"], 3, 6) == [b"x"]
+
+
 def test_gradients():
     rng = np.random.default_rng(3)
     network = quality_model.Network.fresh(rng)
@@ -184,3 +224,97 @@ def test_rounds_of_exchange_raise_the_likelihood(spark):
     many = class_lm.score_texts(docs, F.lit(True), carry=["doc_id"], classes=16, rounds=2)
     total = [df.agg(F.sum("score")).first()[0] for df in (few, many)]
     assert total[1] > total[0]
+
+
+def test_joining_is_exchange_out_of_the_rare_class():
+    """The gains of a rare word are those of exchange where no neighbour is rare as well."""
+    rng = np.random.default_rng(8)
+    table = rng.integers(20, 90, (6, 6)).astype(float)
+    for _ in range(20):
+        right, left = (rng.integers(0, 4, 6) * (np.arange(6) != class_lm.RARE) for _ in range(2))
+        right[0] += 1
+        left[0] += 1
+        expected = class_lm.exchange_gains(
+            table, right[None].astype(float), left[None].astype(float), np.zeros(1), np.array([class_lm.RARE])
+        )[0]
+        cell = np.concatenate([np.flatnonzero(right), 6 + np.flatnonzero(left)])
+        n = np.concatenate([right[right > 0], left[left > 0]]).astype(float)
+        found = class_lm.joining_gains(table, np.array([0]), cell, n)[0]
+        assert np.allclose(found - found[class_lm.RARE], expected - expected[class_lm.RARE])
+
+
+def test_scores_by_plain_loops(spark, monkeypatch):
+    """Classes, transitions and emissions recounted word by word from the classes the words got."""
+    seen = {}
+    assign, model = class_lm.assigned_words, class_lm.class_model
+
+    def assigned_words(*args):
+        seen["assigned"] = assign(*args)
+        return seen["assigned"]
+
+    def class_model(of, *args):
+        seen["of"] = of
+        return model(of, *args)
+
+    monkeypatch.setattr(class_lm, "assigned_words", assigned_words)
+    monkeypatch.setattr(class_lm, "class_model", class_model)
+    monkeypatch.setattr(class_lm, "BLOCK_TOKENS", 700)
+    docs = helpers.documents(spark).where("doc_id < 150").repartition(3)
+    in_training = F.col("doc_id") % 3 > 0
+    options = {"classes": 5, "seed_share": 60, "frequent_share": 300}
+    rows = class_lm.score_texts(docs, in_training, carry=["doc_id"], **options).collect()
+    tokens = {d.doc_id: helpers.WORD.findall(helpers.ascii_lower(d.text)) for d in docs.collect()}
+    counts = Counter(w for i in tokens if i % 3 for w in [*tokens[i], None])
+    n, total = sum(counts.values()), 5 + class_lm.FIXED
+    frequent = sorted((w for w in counts if w and counts[w] * 300 > n), key=lambda w: (-counts[w], w))
+    of = {w: int(c) for w, c in zip(frequent, seen["of"][class_lm.FIXED :])} | {None: class_lm.END}
+    joined = {r.word: (r["class"], r.n) for r in seen["assigned"].collect()}
+    assert joined.keys() == {w for w in counts if w is not None} - set(frequent)
+    assert all(counts[w] == c for w, (_, c) in joined.items())
+    assert sum(c != class_lm.RARE for c, _ in joined.values()) > 500
+    of |= {w: c for w, (c, _) in joined.items()}
+    table = np.zeros((total, total))
+    for i in tokens:
+        before = class_lm.END
+        for w in [*tokens[i], None] if i % 3 else []:
+            table[before, of[w]] += 1
+            before = of[w]
+    alone = (table.sum(axis=0) + 1) / (table.sum() + total)
+    steps = (table + total * alone) / (table.sum(axis=1, keepdims=True) + total)
+    size = Counter()
+    for w, c in counts.items():
+        size[of[w]] += c
+    rare = [w for w in counts if of[w] == class_lm.RARE]
+    mass = sum(counts[w] for w in rare) + len(rare) + 1
+    assert len(rows) == len(tokens)
+    for row in rows:
+        score, before = 0.0, class_lm.END
+        for w in [*tokens[row.doc_id], None]:
+            c = of.get(w, class_lm.RARE)
+            emitted = (counts[w] + 1) / mass if c == class_lm.RARE else counts[w] / size[c] if w else 1
+            score += math.log10(steps[before, c]) + math.log10(emitted)
+            before = c
+        assert row.score == pytest.approx(score, rel=1e-9)
+
+
+def test_more_text_does_not_take_a_class_away(spark):
+    """A word with the same neighbours has its class however much other text there is."""
+    rare = [f"x{i} the {w} of a" for i, w in enumerate(["cat", "cat", "dog", "dog"])]
+    small = rare + ["the man of a house", "the house of a man"] * 20
+    large = small + [f"q{i} r{i} s{i}" for i in range(3000)]
+    for texts in (small, large):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        blocks = {}
+        original = class_lm.assigned_words
+
+        def kept(*args):
+            blocks["found"] = original(*args)
+            return blocks["found"]
+
+        class_lm.assigned_words = kept
+        try:
+            class_lm.score_texts(df, F.lit(True), carry=["doc_id"], frequent_share=30, classes=4).collect()
+        finally:
+            class_lm.assigned_words = original
+        classes = {r.word: r["class"] for r in blocks["found"].collect()}
+        assert classes["cat"] == classes["dog"] != class_lm.RARE

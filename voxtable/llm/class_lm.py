@@ -1,34 +1,38 @@
 """Scoring by a class-based bigram model in the manner of Brown et al., clustered by exchange.
 
-``P(text)`` is the product of ``P(class | class before) * P(word | class)``. The words of an
-exchange class, where they move as long as that raises the likelihood of the training text, are the
-frequent ones: those with more than a fixed share of all tokens, so that their number is bounded
-whatever the size of the corpus. All rarer words are one class, and so is the end of a text. Counts
-come from the whole training text.
-
-The most frequent words are exchanged one after another on the driver, by their bigram counts. Then
-all frequent words are exchanged at once, in rounds: tasks count for each word the classes beside
-it, and a word moves to the class that gains most.
+``P(text)`` is the product of ``P(class | class before) * P(word | class)``. Words are exchanged among
+classes as long as that raises the likelihood of the training text, in three steps that take in all
+of them. The most frequent words are exchanged one after another on the driver, by their bigram
+counts. Then all words with more than a fixed share of the tokens, whose number is bounded whatever
+the size of the corpus, are exchanged at once, in rounds: tasks count for each word the classes
+beside it, and a word moves to the class that gains most. Then every rarer word joins the class that
+gains most by it, from the classes beside it in the whole training text; these words and their
+classes are a Spark table. A word for which no class gains stays in the class of rare words, as do
+words that training has not seen.
+
+Texts are encoded in blocks, each with a list of the different rare words in it. So a word is
+joined once for each block, not for each place, and a block's classes come back as one row.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxtable.llm.frames import column, nested, restored, text_of
 from voxtable.ship import ship_package
 from voxtable.sources.tables import materialize
 
-END, RARE = 0, 1  # codes of the end and of all rare words, and the classes of both
+END, RARE = 0, 1  # codes of the end and of all rare words, and the classes of the end and the unseen
 FIXED = 2
 END_WORD = ""  # no word is empty
 
@@ -65,55 +69,129 @@ def word_counts(texts: DataFrame, held: int = 200_000) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def encoded_with(frequent: Broadcast, dtype: str, text: Column) -> Column:
-    """``n_tokens``, ``codes`` and ``rare`` of a text: how many tokens, the code of each, and the
-    words of code ``RARE`` in order."""
-    names = ["n_tokens", "codes", "rare"]
+#: What a block of texts is stored with, in the row of its first text.
+PAYLOAD = (
+    "words array<string>, lengths array<int>, trained array<boolean>, codes binary, rare binary"
+)
+# A block ends with the text that reaches this number of tokens.
+BLOCK_TOKENS = 400_000
 
-    @F.arrow_udf("n_tokens bigint, codes binary, rare string")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+
+def encode_blocks(rows: DataFrame, frequent: Broadcast, dtype: str) -> DataFrame:
+    """``(row, is_training, block, at)`` of each text of ``rows``, and ``PAYLOAD`` in one of a block.
+
+    ``words`` are the different rare words of the block, ``codes`` those of all tokens, text after
+    text, ``rare`` the places in ``words`` of the tokens of code ``RARE``; ``lengths`` and
+    ``trained`` have an entry for each text.
+    """
+    fields = T.StructType.fromDDL("block bigint, at int, " + PAYLOAD).fields
+    schema = T.StructType([rows.schema[c] for c in ("row", "is_training")] + fields)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = {word.encode(): i + FIXED for i, word in enumerate(frequent.value)}
+        block = TaskContext.get().partitionId() << 33
         for batch in batches:
-            lengths, codes, rare = [], [], []
-            for each in batch:
-                words = words_of(each.as_py())
-                found = [code.get(w, RARE) for w in words]
-                codes.append(np.array([*found, END], dtype).tobytes())
-                rare.append(b" ".join([w for w, c in zip(words, found) if c == RARE]))
-                lengths.append(len(words) + 1)
-            columns = [
-                pa.array(lengths, pa.int64()),
-                pa.array(codes, pa.binary()),
-                pa.array(rare, pa.binary()).cast(pa.string()),
-            ]
-            yield pa.StructArray.from_arrays(columns, names)
-
-    return encode(text)
-
-
-def _pairs(batch: pa.RecordBatch, dtype: str, at: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all texts of a batch with the code before each; an end stands before a text."""
-    codes = np.frombuffer(b"".join(c.as_py() for c in batch.column(at)), dtype).astype(np.int64)
-    return np.concatenate([[END], codes[:-1]]), codes  # texts end with END
-
-
-def bigram_counts(encoded: DataFrame, dtype: str, kinds: np.ndarray) -> np.ndarray:
-    """How often one kind follows another, where ``kinds`` maps codes to a few kinds."""
+            start, texts = 0, batch.column(2)
+            while start < batch.num_rows:
+                local: defaultdict[bytes, int] = defaultdict()
+                local.default_factory = local.__len__
+                codes, rare, lengths, end = [], [], [], start
+                while end < batch.num_rows and (end == start or sum(lengths) < BLOCK_TOKENS):
+                    words = words_of(texts[end].as_py())
+                    found = [code.get(w, RARE) for w in words]
+                    rare.append(np.array([local[w] for w, c in zip(words, found) if c == RARE], "<u4"))
+                    codes.append(np.array([*found, END], dtype))
+                    lengths.append(len(found) + 1)
+                    end += 1
+                count = end - start
+                rest = [None] * (count - 1)
+                flags = batch.column(1).slice(start, count).to_pylist()
+                payload = [
+                    pa.array([[w.decode() for w in local], *rest], pa.list_(pa.string())),
+                    pa.array([lengths, *rest], pa.list_(pa.int32())),
+                    pa.array([flags, *rest], pa.list_(pa.bool_())),
+                    pa.array([np.concatenate(codes).tobytes(), *rest], pa.binary()),
+                    pa.array([np.concatenate(rare).tobytes(), *rest], pa.binary()),
+                ]
+                own = [batch.column(0).slice(start, count), batch.column(1).slice(start, count)]
+                own += [pa.array([block] * count), pa.array(range(count), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*own, *payload], schema.names)
+                start, block = end, block + 1
+
+    return rows.select("row", "is_training", "text").mapInArrow(encode, schema)
+
+
+class Block:
+    """The tokens of a block: codes, and what the rare ones are."""
+
+    def __init__(self, row: dict, dtype: str):
+        self.codes = np.frombuffer(row["codes"], dtype).astype(np.int64)
+        self.lengths = np.array(row["lengths"], np.int64)
+        self.trained = np.repeat(np.array(row["trained"], bool), self.lengths)
+        self.rare = np.frombuffer(row["rare"], "<u4").astype(np.int64)
+        self.rare_at = np.flatnonzero(self.codes == RARE)
+
+    def pairs(
+        self, kinds: np.ndarray, of_rare: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The kind of every token with the kind before it; an end stands before a text.
+
+        ``kinds`` maps codes to kinds, ``of_rare`` the block's rare words.
+        """
+        now = kinds[self.codes]
+        if of_rare is not None:
+            now[self.rare_at] = of_rare[self.rare]
+        return np.concatenate([kinds[[END]], now[:-1]]), now  # texts end with END
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], dtype: str) -> Iterator[tuple[dict, Block]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            (row,) = batch.slice(i, 1).to_pylist()  # one block at a time
+            yield row, Block(row, dtype)
+
+
+def _counted(cells: DataFrame, size: int) -> np.ndarray:
+    """A table of ``size`` cells from (cell, n) rows, each task's own."""
+    found = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # ``size`` at most
+    total = np.zeros(size, np.int64)
+    total[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return total
+
+
+TOKENS = ["lengths", "trained", "codes", "rare"]
+
+
+def bigram_counts(blocks: DataFrame, dtype: str, kinds: np.ndarray) -> np.ndarray:
+    """How often one kind follows another in training, where ``kinds`` maps codes to a few kinds.
+
+    Blocks with ``found``, what is known of their rare words, count these by their classes.
+    """
     size = int(kinds.max()) + 1
+    joined = "found" in blocks.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            before, codes = _pairs(batch, dtype)
-            total += np.bincount(kinds[before] * size + kinds[codes], minlength=size * size)
+        for row, block in _blocks(batches, dtype):
+            before, now = block.pairs(kinds, classes_of(row)[0] if joined else None)
+            pairs = (before * size + now)[block.trained]
+            total += np.bincount(pairs, minlength=size * size)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-    counted = encoded.select("codes").mapInArrow(count, "cell bigint, n bigint")
-    cells = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # size * size at most
-    total = np.zeros(size * size, np.int64)
-    total[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
-    return total.reshape(size, size)
+    columns = [*TOKENS, "found"] if joined else TOKENS
+    cells = blocks.select(columns).mapInArrow(count, "cell bigint, n bigint")
+    return _counted(cells, size * size).reshape(size, size)
+
+
+def classes_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Class and count of a block's rare words, by their places in its list."""
+    found = row["found"] or []
+    classes, counts = np.full(len(found), RARE), np.zeros(len(found), np.int64)
+    for word in found:
+        if word["class"] is not None:
+            classes[word["place"]], counts[word["place"]] = word["class"], word["n"]
+    return classes, counts
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -189,7 +267,7 @@ def log_likelihood(table: np.ndarray) -> float:
 
 
 def exchange_round(
-    encoded: DataFrame, dtype: str, of: np.ndarray, table: np.ndarray
+    blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndarray
 ) -> np.ndarray:
     """Move every frequent word to its best class, all at once; the classes after that.
 
@@ -197,16 +275,13 @@ def exchange_round(
     classes beside a word are summed up in each task first. An empty class takes no word: it would
     look best to all of them at once.
     """
-    total, codes = len(table), len(of)
-    usable = (table.sum(axis=1) > 0) & (np.arange(total) >= FIXED)
-    if not usable.any():
-        usable = np.arange(total) >= FIXED
+    total, codes, usable = len(table), len(of), usable_classes(table)
     names = [f"{side}{c}" for side in ("after", "before") for c in range(total)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beside = np.zeros((2, codes * total), np.int64)
-        for batch in batches:
-            before, code = _pairs(batch, dtype)
+        for _, block in _blocks(batches, dtype):
+            before, code = (x[block.trained] for x in block.pairs(np.arange(codes)))
             beside[0] += np.bincount(before * total + of[code], minlength=codes * total)
             beside[1] += np.bincount(code * total + of[before], minlength=codes * total)
         found = np.concatenate(beside.reshape(2, codes, total), axis=1)
@@ -217,7 +292,7 @@ def exchange_round(
 
     schema = ", ".join(f"{c} bigint" for c in ["code", *names])
     sums = (
-        encoded.select("codes")
+        blocks.select(TOKENS)
         .mapInArrow(count, schema)
         .groupBy("code")
         .agg(*[F.sum(c).alias(c) for c in names])
@@ -239,10 +314,104 @@ def exchange_round(
     return found
 
 
-def class_counts(encoded: DataFrame, dtype: str, of: np.ndarray, total: int) -> np.ndarray:
+def usable_classes(table: np.ndarray) -> np.ndarray:
+    """Classes that words can join; an empty one would look best to all of them at once."""
+    usable = (table.sum(axis=1) > 0) & (np.arange(len(table)) >= FIXED)
+    return usable if usable.any() else np.arange(len(table)) >= FIXED
+
+
+def class_counts(blocks: DataFrame, dtype: str, of: np.ndarray, total: int) -> np.ndarray:
     """How often one class follows another, over all ``total`` classes."""
     kinds = np.concatenate([of, [total - 1]])  # the last is no code and makes the table whole
-    return bigram_counts(encoded, dtype, kinds).astype(np.float64)
+    return bigram_counts(blocks, dtype, kinds).astype(np.float64)
+
+
+def joining_gains(
+    table: np.ndarray, starts: np.ndarray, cell: np.ndarray, n: np.ndarray
+) -> np.ndarray:
+    """Gain in log likelihood of rare words in each class, once taken out of the rare one.
+
+    The words' neighbours are listed word after word, from ``starts``: ``n`` of class ``cell`` after
+    the word, or of class ``cell - len(table)`` before it.
+    """
+    f, total = _xlogx, len(table)
+    after, k = cell < total, cell % total
+    there = np.where(after[:, None], table[:, k].T, table[k, :]).astype(np.float64)
+    there[:, RARE] -= n
+    there = np.maximum(there, 0)
+    gained = f(there + n[:, None]) - f(there)
+    gained[np.arange(len(k)), k] = 0  # beside a word of its own class: both sides are one cell
+    gain = np.add.reduceat(gained, starts, axis=0)
+    both = np.zeros((len(starts), total))
+    np.add.at(both, (np.repeat(np.arange(len(starts)), np.diff([*starts, len(k)])), k), n)
+    same = np.repeat(np.diag(table)[None].astype(np.float64), len(starts), axis=0)
+    same[:, RARE] = np.maximum(same[:, RARE] - both[:, RARE], 0)
+    gain += f(same + both) - f(same)
+    for side, sums in ((after, table.sum(axis=1)), (~after, table.sum(axis=0))):
+        own = np.add.reduceat(np.where(side, n, 0), starts)[:, None]
+        whole = np.repeat(sums[None].astype(np.float64), len(starts), axis=0)
+        whole[:, [RARE]] -= own
+        whole = np.maximum(whole, 0)
+        gain -= f(whole + own) - f(whole)
+    return gain
+
+
+def assigned_words(blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndarray) -> DataFrame:
+    """``(word, n, class)`` of all rare words of the training text.
+
+    A task counts a block's neighbours by word and class before it shuffles; a word has two numbers
+    for each class at most, whatever its number of places.
+    """
+    total, usable = len(table), usable_classes(table)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, block in _blocks(batches, dtype):
+            before, now = block.pairs(of)
+            inside = block.trained[block.rare_at]
+            at, word = block.rare_at[inside], block.rare[inside]
+            cells = np.concatenate([now[at + 1], total + before[at]])  # a text does not end with it
+            keys, n = np.unique(np.tile(word, 2) * (2 * total) + cells, return_counts=True)
+            words = pa.array(row["words"], pa.string()).take(pa.array(keys // (2 * total)))
+            found = [words, pa.array((keys % (2 * total)).astype(np.int32)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(found, ["word", "cell", "n"])
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                beside, counts = part.column(1), part.column(1).value_lengths().to_numpy()
+                flat = beside.flatten()
+                cell = flat.field("cell").to_numpy().astype(np.int64)
+                n = flat.field("n").to_numpy().astype(np.float64)
+                starts = np.cumsum(counts) - counts
+                gains = joining_gains(table, starts, cell, n)
+                best = np.where(usable, gains, -np.inf).argmax(axis=1)
+                rows = np.arange(len(best))
+                best = np.where(gains[rows, best] > gains[:, RARE] + 1e-9, best, RARE)
+                own = np.add.reduceat(np.where(cell < total, n, 0), starts).astype(np.int64)
+                found = [part.column(0), pa.array(own), pa.array(best.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(found, ["word", "n", "class"])
+
+    beside = (
+        blocks.select("words", *TOKENS)
+        .mapInArrow(count, "word string, cell int, n bigint")
+        .groupBy("word", "cell")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("word")
+        .agg(F.collect_list(F.struct("cell", "n")).alias("beside"))
+    )
+    return beside.mapInArrow(assign, "word string, n bigint, class int")
+
+
+def with_classes(blocks: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Blocks with ``found``: place, class and count of their rare words, null for unseen ones.
+
+    A word is one row for each block that has it, so none is a key of many rows.
+    """
+    one = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    looked_up = one.join(assigned, "word", "left")
+    found = F.collect_list(F.struct("place", "class", "n")).alias("found")
+    return blocks.drop("words").join(looked_up.groupBy("block").agg(found), "block", "left")
 
 
 @dataclass
@@ -253,53 +422,80 @@ class ClassModel:
     transitions: np.ndarray
     emissions: np.ndarray  # of each code; 0 for END, and for RARE, whose words differ
     base: np.ndarray  # of each code; 0 for RARE
+    counts: np.ndarray  # of each code
+    of_class: np.ndarray  # tokens of each class
     rare_mass: float  # tokens and words of the rare class, and one for the unseen
     tokens: int
     words: int
 
+    def rare_emissions(self, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of rare words: their share of their class, where in the rare class every word counts
+        once more than it occurs."""
+        rare = classes == RARE
+        whole = np.where(rare, self.rare_mass, np.maximum(self.of_class[classes], 1))
+        return np.log10((counts + rare) / whole)
+
+    def rare_base(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10((counts + 1) / (self.tokens + self.words + 1))
+
 
 def class_model(
-    of: np.ndarray, table: np.ndarray, counts: np.ndarray, tokens: int, words: int
+    of: np.ndarray,
+    table: np.ndarray,
+    counts: np.ndarray,
+    tokens: int,
+    words: int,
+    rare: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> ClassModel:
     """Smoothed probabilities from the counts of classes and frequent words.
 
     Transitions are mixed with class frequencies, as if there were one more of each class behind
-    every class. In the rare class every word counts once more than it occurs, and so does one
-    that stands for the unseen.
+    every class. ``rare`` holds the tokens and the words that rare words add to each class; without
+    it all of them are in the rare class. In that class every word counts once more than it occurs,
+    and so does one that stands for the unseen.
     """
     classes = len(table)
     alone = (table.sum(axis=0) + 1) / (table.sum() + classes)
     transitions = (table + classes * alone) / (table.sum(axis=1, keepdims=True) + classes)
-    of_class = np.bincount(of, counts, classes)
+    if rare is None:
+        kinds = words - int(np.count_nonzero(counts)) + int(counts[RARE] > 0)
+        rare = (np.bincount([RARE], [counts[RARE]], classes), np.bincount([RARE], [kinds], classes))
+    frequent = np.delete(np.arange(len(of)), RARE)
+    of_class = np.bincount(of[frequent], counts[frequent], classes) + rare[0]
     emissions = np.zeros(len(of))
     emissions[FIXED:] = np.log10(counts[FIXED:] / of_class[of[FIXED:]])
     base = np.log10((counts + 1) / (tokens + words + 1))
     base[RARE] = 0
-    rare_words = words - int(np.count_nonzero(counts)) + int(counts[RARE] > 0)
-    mass = float(counts[RARE]) + rare_words + 1
-    return ClassModel(of, np.log10(transitions), emissions, base, mass, tokens, words)
+    stayed = (of == RARE) & (np.arange(len(of)) >= FIXED)  # frequent words that no class took
+    mass = float(rare[0][RARE] + rare[1][RARE]) + 1 + float((counts[stayed] + 1).sum())
+    emissions[stayed] = np.log10((counts[stayed] + 1) / mass)
+    logs = np.log10(transitions)
+    return ClassModel(of, logs, emissions, base, counts, of_class, mass, tokens, words)
 
 
-def frequent_part(encoded: DataFrame, dtype: str, model: ClassModel) -> DataFrame:
-    """``(place, n_tokens, n_rare, base, score)`` of each text, without what rare words add."""
-    schema = "place bigint, n_tokens bigint, n_rare bigint, base double, score double"
+def scored_texts(blocks: DataFrame, dtype: str, model: ClassModel) -> DataFrame:
+    """``(block, at, n_tokens, n_known, base, score)`` of each text."""
+    schema = "block bigint, at int, n_tokens bigint, n_known bigint, base double, score double"
+    names = [field.split(" ")[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            before, code = _pairs(batch, dtype, 2)
-            steps = model.transitions[model.of[before], model.of[code]] + model.emissions[code]
-            lengths = batch.column(1).to_numpy()
-            starts = np.cumsum(lengths) - lengths
-            sums = [
-                np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
-                for x in ((code == RARE).astype(np.int64), model.base[code], steps)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(x) for x in sums)],
-                ["place", "n_tokens", "n_rare", "base", "score"],
-            )
-
-    return encoded.select("place", "n_tokens", "codes").mapInArrow(run, schema)
+        for row, block in _blocks(batches, dtype):
+            classes, counts = classes_of(row)
+            before, now = block.pairs(model.of, classes)
+            of_word, base = model.emissions[block.codes], model.base[block.codes]
+            known = model.counts[block.codes] > 0
+            of_word[block.rare_at] = model.rare_emissions(classes, counts)[block.rare]
+            base[block.rare_at] = model.rare_base(counts)[block.rare]
+            known[block.rare_at] = (counts > 0)[block.rare]
+            steps = model.transitions[before, now] + of_word
+            starts = np.cumsum(block.lengths) - block.lengths
+            sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, steps)]
+            size = len(starts)
+            found = [pa.array([row["block"]] * size), pa.array(range(size), pa.int32())]
+            found += [pa.array(block.lengths), *(pa.array(x) for x in sums)]
+            yield pa.RecordBatch.from_arrays(found, names)
+
+    return blocks.mapInArrow(run, schema)
 
 
 def score_texts(
@@ -324,9 +520,10 @@ def score_texts(
     table. Returns the columns of ``carry`` (all by default) before the results; an input column
     with the name of a result gives way.
 
-    Words with more than one in ``frequent_share`` tokens are exchanged among ``classes`` classes,
-    those with more than one in ``seed_share`` first. As shares of the whole these bound what the
-    driver and a task hold, and take in the same part of the language at every size.
+    All words have a place among ``classes`` classes: those with more than one in ``frequent_share``
+    tokens by exchange, those with more than one in ``seed_share`` first, and all others by what is
+    beside them. As shares of the whole these numbers bound what the driver and a task hold; they
+    steer how a word's class is found, not whether it has one.
     """
     ship_package(df.sparkSession)
     columns = df.columns if carry is None else carry
@@ -342,50 +539,37 @@ def score_texts(
     dtype = "<u2" if len(of_code) < 1 << 16 else "<u4"
 
     shared = df.sparkSession.sparkContext.broadcast(known["word"].tolist())
-    place = F.monotonically_increasing_id()  # stored, so it never changes
-    rows = nested(df, columns, is_training=training, place=place, text=text_of(text_col))
-    coded = rows.withColumn("coded", encoded_with(shared, dtype, F.col("text")))
-    encoded = materialize(coded.select("row", "is_training", "place", "coded.*"))
-    trained = encoded.where("is_training")
+    rows = nested(df, columns, is_training=training, text=text_of(text_col))
+    encoded = materialize(encode_blocks(rows, shared, dtype))
+    blocks = encoded.where("codes IS NOT NULL").drop("row", "is_training", "at")
     codes = np.arange(len(of_code))
     seeds = FIXED + int((known["n"] * seed_share > tokens).sum())
     of = np.full(len(of_code), RARE)
-    seeded = bigram_counts(trained, dtype, np.where(codes < seeds, codes, RARE))
+    seeded = bigram_counts(blocks, dtype, np.where(codes < seeds, codes, RARE))
     of[:seeds] = exchange_seeds(seeded, classes, passes)[:seeds]
-    table = class_counts(trained, dtype, of, classes + FIXED)
+    table = class_counts(blocks, dtype, of, classes + FIXED)
     for _ in range(rounds if len(known) else 0):
-        moved = exchange_round(trained, dtype, of, table)
-        after = class_counts(trained, dtype, moved, classes + FIXED)
+        moved = exchange_round(blocks, dtype, of, table)
+        after = class_counts(blocks, dtype, moved, classes + FIXED)
         if log_likelihood(after) <= log_likelihood(table):
             break  # words that moved at the same time got in each other's way
         of, table = moved, after
-    model = class_model(of, table, of_code, tokens, words)
-
-    # Rare words are rare each, so no key of this join is hot; each text's are added up again.
-    one = encoded.where("rare <> ''").select("place", F.explode(F.split("rare", " ")).alias("word"))
-    rare_counts = counts.where(~is_frequent & (F.col("word") != END_WORD))
-    looked_up = one.join(rare_counts, "word", "left").groupBy("place").agg(
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_logs"),
-        F.count("n").alias("rare_known"),
-    )
-    parts = frequent_part(encoded, dtype, model).join(looked_up, "place", "left")
-    kept = encoded.select("row", "is_training", "place")
-    logs = F.coalesce("rare_logs", F.lit(0.0))
-    mass = float(np.log10(tokens + words + 1))
-    scored = parts.select(
-        "place",
-        "n_tokens",
-        F.when(F.lit(tokens > 0), F.col("n_tokens") - F.col("n_rare")).otherwise(0).alias("frequent"),
-        F.coalesce("rare_known", F.lit(0)).alias("rare_known"),
-        (F.col("base") + logs - F.col("n_rare") * mass).alias("base"),
-        (F.col("score") + logs - F.col("n_rare") * float(np.log10(model.rare_mass))).alias("score"),
-    )
+
+    assigned = materialize(assigned_words(blocks, dtype, of, table))
+    joined = materialize(with_classes(blocks, assigned))
+    table = class_counts(joined, dtype, of, classes + FIXED)
+    added = assigned.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+    rare = np.zeros((2, classes + FIXED))
+    for r in added:
+        rare[:, r["class"]] = r["n"], r["words"]
+    model = class_model(of, table, of_code, tokens, words, (rare[0], rare[1]))
+    kept = encoded.select("row", "is_training", "block", "at")
     return restored(
-        kept.join(scored, "place"),
+        kept.join(scored_texts(joined, dtype, model), ["block", "at"]),
         columns,
         held_out=~F.col("is_training"),
         n_tokens=F.col("n_tokens"),
-        n_known=(F.col("frequent") + F.col("rare_known")).cast("bigint"),
+        n_known=F.col("n_known"),
         train_tokens=F.lit(tokens).cast("bigint"),
         base_score=F.col("base"),
         score=F.col("score"),
