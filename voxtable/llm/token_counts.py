@@ -2,21 +2,31 @@
 
 Within a word the count of a prefix is the count of a shorter prefix plus one, where the shorter
 prefix is the one that BPE leaves before its last token. Over words the counts add up. From the
-stored counts, truncation and budget questions are answered without encoding again.
+counts stored for every prefix of a word and after every word of a text, truncation and budget
+questions are answered without encoding again.
 """
 
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import accumulate, islice
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtable.llm.bpe import SEPARATORS, WORDS, Remembered, Vocabulary, read_vocabulary
+from voxtable.llm.bpe import (
+    REMEMBERED,
+    SEPARATORS,
+    WORDS,
+    Remembered,
+    Vocabulary,
+    read_vocabulary,
+)
 from voxtable.llm.frames import text_of, with_results
 from voxtable.ship import ship_package
 
@@ -38,7 +48,7 @@ class PrefixCounts:
             at += len(normalized)
             words = [part] if special is not None else counter.vocabulary.words(normalized)
             self.words += words
-            counts += [1] if special is not None else map(counter.of_word.__getitem__, words)
+            counts += [1] if special is not None else [c[-1] for c in map(counter.of_word.__getitem__, words)]
         self.chars = at
         #: Tokens of the first k words, for every k.
         self.after_words = np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])
@@ -63,8 +73,8 @@ class PrefixCounts:
         at = before + _word_start(part, whole - first)
         if word in self._counter.vocabulary.special:
             return at
-        within = self._counter.prefixes_of_word(word)
-        return at + max(i for i, n in enumerate(within) if n <= left)
+        within = self._counter.of_word[word]
+        return at + max((i for i, n in enumerate(within, 1) if n <= left), default=0)
 
 
 def _word_start(part: str, k: int) -> int:
@@ -75,51 +85,62 @@ def _word_start(part: str, k: int) -> int:
 
 
 class Counter:
-    """Counts tokens with a bounded memory of words."""
+    """Counts tokens with a bounded memory of words, each with the counts of all its prefixes."""
 
-    def __init__(self, text: str, remembered: int = 500_000):
+    def __init__(self, text: str, remembered: int = REMEMBERED):
         self.vocabulary = Vocabulary(text)
+        automaton = self.vocabulary.automaton
+        self._lexicon = ahocorasick.Automaton()
+        for word in automaton.inner.keys() | automaton.final.keys():
+            both = (len(word), automaton.inner.get(word, -1), automaton.final.get(word, -1))
+            self._lexicon.add_word(word.decode("latin-1"), both)
+        self._lexicon.make_automaton()
         self.of_word = Remembered(self._of_new_word, remembered)
 
-    def _counts(self, piece: bytes, ends: list[int] | None = None) -> list[int]:
-        """Tokens of ``piece[:at]`` as a word of its own, for each ``at`` of ``ends``."""
-        automaton = self.vocabulary.automaton
-        last = automaton.run(piece)
-        inner = [0] * len(last)  # tokens of each prefix as the start of a longer word
-        for at in range(1, len(piece)):
-            inner[at] = inner[at - automaton.lengths[last[at]]] + 1
-        counts = []
-        for at in ends or [len(piece)]:
-            token = automaton.end(piece, at, last)
-            counts.append(inner[at - automaton.lengths[token]] + 1)
-        return counts
-
-    def _of_new_word(self, word: str) -> int:
-        """A word of several pieces adds up what is remembered of these as words."""
-        pieces = self.vocabulary.pieces(word)
-        if len(pieces) > 1:
-            return sum([self.of_word[p] for p in pieces])
-        return sum([self._counts(p.encode())[-1] for p in pieces])
+    def _counts(self, piece: bytes) -> list[int]:
+        """Tokens of ``piece[:at]`` as a word of its own, for every ``at`` from 1.
 
-    def prefixes_of_word(self, word: str) -> list[int]:
-        """Tokens of every prefix of a word, from no character to all of them.
+        Two counts for each prefix, in one pass: as the start of a longer word and as a whole word.
+        Each is that of a shorter prefix as a start and one more, namely of the prefix that BPE
+        leaves before the last token.
+        """
+        size = len(piece) + 1
+        last, inner, whole = [-1] * size, [0] * size, [0] * size
+        follows = self.vocabulary.automaton.follows
+        for end, (length, token, final) in self._lexicon.iter(piece.decode("latin-1")):
+            at = end + 1
+            before = at - length
+            left = last[before]
+            if token >= 0 and last[at] < 0 and (not before or follows(left, token)):
+                last[at], inner[at] = token, inner[before] + 1
+            if final >= 0 and not whole[at] and (not before or follows(left, final)):
+                whole[at] = inner[before] + 1
+        return whole[1:]
+
+    def _of_new_word(self, word: str) -> bytes | array:
+        """Tokens of every prefix of a word, from one character to all of them.
 
         A prefix is split like the word, but for its last piece, which is cut. A cut contraction
-        is no contraction: its apostrophe and its letters are pieces of their own.
+        is no contraction: its apostrophe and its letters are pieces of their own. A word of several
+        pieces adds up what is remembered of these as words.
         """
-        counts, before = [0], 0
-        for piece in self.vocabulary.pieces(word):
-            cuts = np.cumsum([len(c.encode()) for c in piece]).tolist()
-            contraction = len(piece) > 1 and piece[0] == "'" and piece[1].isalpha()
-            if contraction:
-                mark = self.of_word["'"]
-                letters = self._counts(piece[1:].encode(), list(range(1, len(piece))))
-                inside = [mark, *(mark + n for n in letters[:-1]), self.of_word[piece]]
-            else:
-                inside = self._counts(piece.encode(), cuts)
-            counts += [before + n for n in inside]
-            before += inside[-1]
-        return counts
+        pieces, counts = self.vocabulary.pieces(word), []
+        if len(pieces) > 1:
+            for piece in pieces:
+                before = counts[-1] if counts else 0
+                counts += [before + n for n in self.of_word[piece]]
+        elif pieces:
+            ends = accumulate(map(utf8_length, word)) if not word.isascii() else range(1, len(word) + 1)
+            found = self._counts(word.encode())
+            counts = [found[e - 1] for e in ends]
+            if len(word) > 1 and word[0] == "'" and word[1].isalpha():
+                mark, letters = self.of_word["'"][-1], self.of_word[word[1:]]
+                counts = [mark, *[mark + n for n in letters[:-1]], counts[-1]]
+        return bytes(counts) if max(counts, default=0) < 256 else array("I", counts)
+
+
+def utf8_length(character: str) -> int:
+    return len(character.encode())
 
 
 @functools.lru_cache(maxsize=2)
