@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from voxtable.llm import exact_dedup, packing, quality_rules, secret_scan, simhash
-from voxtable.sources.tables import materialize
+from voxtable.sources.tables import materialize, work_tables
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -53,8 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents table; each reads what the one before has written."""
+    """All stages on the documents table; each reads what the one before has written.
+
+    Tables that a stage writes on its way are removed once its documents are written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with work_tables(spark):
+            docs = materialize(stage(spark, docs, sf_dir), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
