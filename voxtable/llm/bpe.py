@@ -13,6 +13,7 @@ import functools
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,10 @@ from voxtable.llm.frames import text_of, with_results
 from voxtable.ship import ship_package
 
 NEVER = 1 << 30
+END = "\u0100"  # what is read at the end of a word; no byte is read as it
+ARCS = 300_000  # arcs known at a time, some 35 MB
+AHEAD, GUESSES = 5, 200_000  # letters that an arc is guessed by, and guesses known at a time
+REMEMBERED = 40 << 20  # bytes of words remembered by a Python worker, in each of two generations
 # How the supported vocabularies split words, and the normalizers they name.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -74,13 +79,17 @@ class TokenAutomaton:
             last = label.endswith(suffix) and len(label) > end
             spelled = bytes(letters[c] for c in (label[:-end] if last else label))
             (self.final if last else self.inner)[spelled] = token
-        self.longest = max(map(len, self.final))
-        # Bytes that a token stands for.
-        self.lengths = {t: len(w) for ends in (self.inner, self.final) for w, t in ends.items()}
-        self._lexicon = ahocorasick.Automaton()
-        for word, token in self.inner.items():
-            self._lexicon.add_word(word.decode("latin-1"), (len(word), token))
-        self._lexicon.make_automaton()
+        # What a token is read as: its bytes, and a mark behind the last one of a word.
+        read = {t: w.decode("latin-1") for w, t in self.inner.items()}
+        read |= {t: w.decode("latin-1") + END for w, t in self.final.items()}
+        self.lengths = {t: len(w) for t, w in read.items()}
+        self._arc_named = {w: t for t, w in read.items()}
+        # The longest arc that starts with one or two letters.
+        self._reach: dict[str, int] = {}
+        self._guesses: dict[str, int] = {}
+        for spelled in self._arc_named:
+            start = spelled[:2]
+            self._reach[start] = max(len(spelled), self._reach.get(start, 0))
 
     def _merge(self, step: int, u: int, v: int, uv: int) -> None:
         """One gadget. A merge that no earlier result leaves room for adds nothing."""
@@ -103,78 +112,88 @@ class TokenAutomaton:
         key = u << 20 | v
         known = self._arcs.get(key)
         if known is None:
-            if len(self._arcs) > 1_000_000:
+            if len(self._arcs) > ARCS:
                 self._arcs.clear()
             known = self._arcs[key] = self._open(u, v)
         return known
 
-    def run(self, word: bytes) -> list[int]:
-        """The last token of the accepted path of every prefix, as the start of a longer word.
+    def encode(self, word: bytes) -> list[int]:
+        """Tokens of one pre-split word: the labels along its accepted path.
 
-        Every prefix has one accepted path, and it extends the path of a shorter prefix by one
-        arc. The lexicon lists the tokens that end at each byte.
+        From each state the arc is tried that the same next letters took last, then all that spell
+        what comes next, the longest first. Every prefix of a word has one accepted path, so a
+        place from which the end was not reached is no place of the word's path, however one gets
+        there, and is not tried again; nor does the order of trying change the path.
         """
-        last = [-1] * (len(word) + 1)
-        arcs = self._arcs
-        for end, (length, token) in self._lexicon.iter(word.decode("latin-1")):
-            at = end + 1
-            if last[at] >= 0:
-                continue
-            if length == at:
-                last[at] = token
-                continue
-            before = last[at - length]
-            known = arcs.get(before << 20 | token)
-            if known or known is None and self.follows(before, token):
-                last[at] = token
-        return last
-
-    def end(self, word: bytes, at: int, last: list[int]) -> int:
-        """The last token of ``word[:at]`` as a whole word."""
-        for k in range(max(0, at - self.longest), at):
-            token = self.final.get(word[k:at])
-            if token is not None and (k == 0 or self.follows(last[k], token)):
-                return token
-        raise ValueError(f"no path for {word!r}")
-
-    def encode(self, word: bytes) -> list[int]:
-        """Tokens of one pre-split word: run forward, then follow the path back."""
         whole = self.final.get(word)
         if whole is not None:
             return [whole]
-        last, at = self.run(word), len(word)
-        token = self.end(word, at, last)
-        path = [token]
-        while at > self.lengths[token]:
-            at -= self.lengths[token]
-            token = last[at]
-            path.append(token)
-        return path[::-1]
+        spelled = word.decode("latin-1") + END
+        named, known, guesses = self._arc_named.get, self._arcs.get, self._guesses
+        path, places, dead, size = [], [0], set(), len(spelled)
+        at, last = 0, -1
+        while at < size:
+            ahead = spelled[at : at + AHEAD]
+            length = guesses.get(ahead)
+            if length:
+                token = named(spelled[at : at + length])
+                if token is not None and at + length not in dead:
+                    arc = last < 0 or known(last << 20 | token)
+                    if arc or arc is None and self.follows(last, token):
+                        path.append(token)
+                        at, last = at + length, token
+                        places.append(at)
+                        continue
+            length = min(self._reach.get(ahead[:2], 1), size - at)
+            while length:
+                token = named(spelled[at : at + length])
+                if token is not None and at + length not in dead:
+                    if last < 0 or self.follows(last, token):
+                        break
+                length -= 1
+            if length:
+                if len(guesses) > GUESSES:
+                    guesses.clear()
+                guesses[ahead] = length
+                path.append(token)
+                at, last = at + length, token
+                places.append(at)
+            elif path:
+                dead.add(at)
+                path.pop()
+                places.pop()
+                at, last = places[-1], path[-1] if path else -1
+            else:
+                raise ValueError(f"no path for {word!r}")
+        return path
 
 
 class Remembered(dict):
-    """A dictionary filled by a function, of twice ``limit`` entries at most.
+    """A dictionary filled by a function, of two generations of ``limit`` bytes each at most.
 
     When full it becomes the older generation, from which entries in use come back. So frequent
     words stay and rare ones go.
     """
 
+    # Bytes of an entry beside what its key and value spell, about.
+    ENTRY = 120
+
     def __init__(self, function: Callable, limit: int):
         super().__init__()
-        self._function, self._limit, self._older = function, limit, {}
+        self._function, self._limit, self._older, self._size = function, limit, {}, 0
 
     def __missing__(self, key):
         value = self._older.get(key)
         if value is None:
             value = self._function(key)
-        self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self) >= self._limit:
-            self._older = dict(self)
+        size = self.ENTRY + len(key) + len(value)
+        if self._size + size > self._limit:
+            self._older, self._size = dict(self), 0
             self.clear()
-        self[key] = value
+        if size <= self._limit:
+            self._size += size
+            self[key] = value
+        return value
 
 
 class Vocabulary:
@@ -213,13 +232,18 @@ class Vocabulary:
         return WORDS.findall(normalized) if SEPARATORS.search(normalized) else normalized.split()
 
     def pieces(self, word: str) -> list[str]:
-        return self._pieces.findall(word)
+        return [word] if word.isalpha() else self._pieces.findall(word)
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
     """Texts to ids and back, with a bounded memory of words."""
 
-    def __init__(self, text: str, remembered: int = 500_000):
+    def __init__(self, text: str, remembered: int = REMEMBERED):
         self.vocabulary = Vocabulary(text)
         self._of_word = Remembered(self._encode_word, remembered)
 
@@ -228,15 +252,16 @@ class Encoder:
         pieces = self.vocabulary.pieces(word)
         if len(pieces) > 1:
             return b"".join([self._of_word[p] for p in pieces])
-        found = [self.vocabulary.automaton.encode(p.encode()) for p in pieces]
-        return np.array(found, "<u4").tobytes()
+        if not pieces:
+            return b""
+        return packed(self.vocabulary.automaton.encode(pieces[0].encode()))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         found = []
         for special, part in self.vocabulary.parts(text):
             if special is not None:
-                found.append(np.array([special], "<u4").tobytes())
+                found.append(packed([special]))
                 continue
             words = self.vocabulary.words(self.vocabulary.normalized(part))
             found.append(b"".join(map(self._of_word.__getitem__, words)))
