@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain, compress
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ from voxtable.sources.tables import materialize
 SPACE = "▁"  # stands for a space in the pieces
 # Where both tokenizers start afresh whatever lies before: at a single space before a letter or digit.
 CUT = re.compile(r"(?<=\S) (?=[^\W_])")
-UNITS = 200_000  # units remembered; then all are forgotten and the frequent ones soon known again
+UNITS = 350_000  # units remembered; then all are forgotten and the frequent ones soon known again
+LEARNED = 4096  # new units given to the tokenizers at a time
 TOGETHER = 500_000  # characters aligned at a time
 FAN_IN = 8  # fragments composed by one group of a round
 TEXT_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -72,28 +74,28 @@ class Tokenizers:
         #: Whether no piece goes on after a space, so that texts can be cut at spaces.
         self.starts_at_spaces = not any(SPACE in p.lstrip(SPACE) for p in names)
 
-    def encode(self, units: list[str]) -> tuple[np.ndarray, Tokens, list[int], list[int]]:
-        """Which units both give back, and the tokens of those, one unit behind the other.
+    def encode(self, spaced: list[str]) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
+        """Which texts both give back, and the ids of those by both.
 
-        The first tokenizer gets a space before each, which the second adds itself. Also the numbers
-        of tokens of each of these units.
+        Each starts with the space that the second adds itself.
         """
-        spaced = [" " + u for u in units]
-        a = [e.ids for e in self._a.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self._b.encode(units, num_threads=1)
-        spell_a, spell_b = self._a_bytes.__getitem__, self._b_bytes.__getitem__
-        same = [
-            b"".join(map(spell_a, x)) == data and b"".join(map(spell_b, y)) == data
-            for x, y, data in zip(a, b, map(str.encode, spaced))
-        ]
-        flat, counts = [], []
-        for ids in (a, b):
-            kept = list(compress(ids, same))
-            counts.append(list(map(len, kept)))
-            flat.append(np.fromiter(chain.from_iterable(kept), np.int64, sum(counts[-1])))
-        lengths = (self._a_lengths[flat[0]], self._b_lengths[flat[1]])
-        tokens = Tokens(flat[0], np.cumsum(lengths[0]), flat[1], np.cumsum(lengths[1]))
-        return np.array(same, bool), tokens, *counts
+        same, all_a, all_b = [], [], []
+        for at in range(0, len(spaced), LEARNED):
+            some = spaced[at : at + LEARNED]
+            a = [e.ids for e in self._a.encode_batch_fast(some, add_special_tokens=False)]
+            b = self._b.encode([s[1:] for s in some], num_threads=1)
+            data = list(map(str.encode, some))
+            alike = self._spell(a, self._a_bytes, data) & self._spell(b, self._b_bytes, data)
+            same.append(alike)
+            all_a += compress(a, alike)
+            all_b += compress(b, alike)
+        return np.concatenate([np.empty(0, bool), *same]), all_a, all_b
+
+    @staticmethod
+    def _spell(ids: list[list[int]], tokens: list[bytes], data: list[bytes]) -> np.ndarray:
+        """Whether each list of ids spells its text."""
+        spelled = [b"".join(map(tokens.__getitem__, x)) for x in ids]
+        return np.fromiter(map(eq, spelled, data), bool, len(data))
 
     def ended(self, a: np.ndarray, b: np.ndarray) -> Tokens:
         """Tokens with the offsets at which they end."""
@@ -209,16 +211,16 @@ class Fragment:
 class Ragged:
     """Lists of numbers of different lengths, one behind the other."""
 
-    def __init__(self):
-        self._values, self._starts = np.empty(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+    def __init__(self, dtype=np.int32):
+        self._values, self._starts = np.empty(1 << 16, dtype), np.zeros(1 << 16, np.int64)
         self._rows = 0
 
     def extend(self, values: np.ndarray, counts) -> None:
         used, rows = int(self._starts[self._rows]), self._rows + len(counts)
         while used + len(values) > len(self._values):
-            self._values = np.concatenate([self._values, np.empty_like(self._values)])
+            self._values = np.concatenate([self._values, np.empty(len(self._values) // 2, self._values.dtype)])
         while rows >= len(self._starts):
-            self._starts = np.concatenate([self._starts, np.empty_like(self._starts)])
+            self._starts = np.concatenate([self._starts, np.empty(len(self._starts) // 2, np.int64)])
         self._values[used : used + len(values)] = values
         self._starts[self._rows + 1 : rows + 1] = used + np.cumsum(counts)
         self._rows = rows
@@ -228,7 +230,7 @@ class Ragged:
         starts = self._starts[rows]
         counts = self._starts[rows + 1] - starts
         places = np.repeat(starts - (np.cumsum(counts) - counts), counts)
-        return self._values[places + np.arange(len(places))], counts
+        return self._values[places + np.arange(len(places))].astype(np.int64), counts
 
 
 class Units:
@@ -241,7 +243,7 @@ class Units:
     def __init__(self):
         self.number: dict[str, int] = {}
         self.groups: list[str | None] = []  # None for a unit that has no tokens
-        self.a, self.b, self.codes, self.times = Ragged(), Ragged(), Ragged(), Ragged()
+        self.a, self.b, self.codes, self.times = Ragged(), Ragged(), Ragged(np.int64), Ragged()
         self.counts = Ragged()  # tokens of both, groups, links
 
 
@@ -258,6 +260,12 @@ class Aligner:
         """One number for a pair of ids."""
         return a * self.tokenizers.b_size + b
 
+    def _parts(self, text: str) -> list[str]:
+        """The units of a text; each is read behind a space."""
+        if not text:
+            return []
+        return CUT.split(text) if self.tokenizers.starts_at_spaces else [text]
+
     def _numbers(self, parts: list[str]) -> np.ndarray:
         """Numbers of units; new ones are aligned together."""
         if len(self._units.number) > UNITS:
@@ -272,7 +280,11 @@ class Aligner:
         units = self._units
         first = len(units.number)
         units.number.update(zip(new, range(first, first + len(new))))
-        same, tokens, n_a, n_b = self.tokenizers.encode(new)
+        same, a, b = self.tokenizers.encode([" " + u for u in new])
+        n_a, n_b = list(map(len, a)), list(map(len, b))
+        tokens = self.tokenizers.ended(
+            *[np.fromiter(chain.from_iterable(x), np.int64, sum(n)) for x, n in ((a, n_a), (b, n_b))]
+        )
         all_a, all_b, counts = (np.zeros(len(new), np.int64) for _ in range(3))
         all_a[same], all_b[same] = n_a, n_b
         units.a.extend(tokens.a, all_a)
@@ -305,9 +317,7 @@ class Aligner:
 
     def texts(self, texts: list[str], with_groups: bool) -> list[tuple]:
         """Rows as in ``ALIGNED`` for whole texts, aligned together."""
-        parts = [CUT.split(t) if t else [] for t in texts]
-        if not self.tokenizers.starts_at_spaces:
-            parts = [[t] if t else [] for t in texts]
+        parts = list(map(self._parts, texts))
         flat = self._numbers(list(chain.from_iterable(parts)))
         units = self._units
         sizes = np.array(list(map(len, parts)), np.int64)
@@ -345,8 +355,7 @@ class Aligner:
 
         None where the bytes of either are not those of the text.
         """
-        parts = CUT.split(spaced[1:]) if self.tokenizers.starts_at_spaces else [spaced[1:]]
-        flat = self._numbers(parts)
+        flat = self._numbers(self._parts(spaced[1:]))
         if any(self._units.groups[i] is None for i in flat.tolist()):
             return None
         return self.tokenizers.ended(self._units.a.take(flat)[0], self._units.b.take(flat)[0])
