@@ -40,7 +40,7 @@ from voxtable.sources.tables import materialize
 SPACE = "▁"  # stands for a space in the pieces
 # Where both tokenizers start afresh whatever lies before: at a single space before a letter or digit.
 CUT = re.compile(r"(?<=\S) (?=[^\W_])")
-UNITS = 350_000  # units remembered; then all are forgotten and the frequent ones soon known again
+UNITS = 260_000  # units remembered; then all are forgotten and the frequent ones soon known again
 LEARNED = 4096  # new units given to the tokenizers at a time
 TOGETHER = 500_000  # characters aligned at a time
 FAN_IN = 8  # fragments composed by one group of a round
