@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,3 +319,23 @@ def test_more_text_does_not_take_a_class_away(spark):
             class_lm.assigned_words = original
         classes = {r.word: r["class"] for r in blocks["found"].collect()}
         assert classes["cat"] == classes["dog"] != class_lm.RARE
+
+
+def test_parts_of_a_block_are_its_texts():
+    """However a block is cut, its texts have the same tokens before and behind each other."""
+    draw = np.random.default_rng(3)
+    lengths = draw.integers(1, 9, 40)
+    codes = np.concatenate([[*draw.integers(1, 5, n - 1), class_lm.END] for n in lengths]).astype("<u2")
+    rare = draw.integers(0, 7, np.count_nonzero(codes == class_lm.RARE)).astype("<u4")
+    batch = pa.RecordBatch.from_pylist(
+        [{"codes": codes.tobytes(), "rare": rare.tobytes(), "lengths": lengths.tolist(), "trained": (lengths > 3).tolist()}]
+    )
+    kinds, of_rare = np.arange(5) * 10, np.arange(7) + 100
+    whole = [b for _, _, b in class_lm._blocks([batch], "<u2")]
+    assert len(whole) == 1
+    expected = np.stack([*whole[0].pairs(kinds, of_rare), whole[0].trained])
+    for size in (1, 5, 17, 60):
+        parts = list(class_lm._blocks([batch], "<u2", size))
+        assert len(parts) > 1 and [f for _, f, _ in parts] == np.cumsum([0, *(len(b.lengths) for _, _, b in parts)])[:-1].tolist()
+        joined = np.concatenate([np.stack([*b.pairs(kinds, of_rare), b.trained]) for _, _, b in parts], axis=1)
+        assert np.array_equal(joined, expected)

@@ -73,8 +73,9 @@ def word_counts(texts: DataFrame, held: int = 200_000) -> DataFrame:
 PAYLOAD = (
     "words array<string>, lengths array<int>, trained array<boolean>, codes binary, rare binary"
 )
-# A block ends with the text that reaches this number of tokens.
-BLOCK_TOKENS = 400_000
+# A block ends with the text that reaches this number of tokens, or with a batch of rows. The larger
+# it is, the fewer times a word is joined; a worker holds some 30 bytes a token of one block.
+BLOCK_TOKENS = 3_000_000
 
 
 def encode_blocks(rows: DataFrame, frequent: Broadcast, dtype: str) -> DataFrame:
@@ -96,18 +97,23 @@ def encode_blocks(rows: DataFrame, frequent: Broadcast, dtype: str) -> DataFrame
                 local: defaultdict[bytes, int] = defaultdict()
                 local.default_factory = local.__len__
                 codes, rare, lengths, end = [], [], [], start
-                while end < batch.num_rows and (end == start or sum(lengths) < BLOCK_TOKENS):
+                size = 0
+                while end < batch.num_rows and size < BLOCK_TOKENS:
                     words = words_of(texts[end].as_py())
                     found = [code.get(w, RARE) for w in words]
                     rare.append(np.array([local[w] for w, c in zip(words, found) if c == RARE], "<u4"))
                     codes.append(np.array([*found, END], dtype))
                     lengths.append(len(found) + 1)
+                    size += lengths[-1]
                     end += 1
                 count = end - start
                 rest = [None] * (count - 1)
                 flags = batch.column(1).slice(start, count).to_pylist()
+                own_words = pa.array(list(local), pa.binary()).cast(pa.string())
+                nulls = pa.nulls(count - 1, pa.list_(pa.string()))
+                first = pa.ListArray.from_arrays(pa.array([0, len(own_words)], pa.int32()), own_words)
                 payload = [
-                    pa.array([[w.decode() for w in local], *rest], pa.list_(pa.string())),
+                    pa.concat_arrays([first, nulls]),
                     pa.array([lengths, *rest], pa.list_(pa.int32())),
                     pa.array([flags, *rest], pa.list_(pa.bool_())),
                     pa.array([np.concatenate(codes).tobytes(), *rest], pa.binary()),
@@ -122,14 +128,13 @@ def encode_blocks(rows: DataFrame, frequent: Broadcast, dtype: str) -> DataFrame
 
 
 class Block:
-    """The tokens of a block: codes, and what the rare ones are."""
+    """Tokens of some texts of a block: codes, and what the rare ones are."""
 
-    def __init__(self, row: dict, dtype: str):
-        self.codes = np.frombuffer(row["codes"], dtype).astype(np.int64)
-        self.lengths = np.array(row["lengths"], np.int64)
-        self.trained = np.repeat(np.array(row["trained"], bool), self.lengths)
-        self.rare = np.frombuffer(row["rare"], "<u4").astype(np.int64)
+    def __init__(self, codes: np.ndarray, rare: np.ndarray, lengths: np.ndarray, trained: np.ndarray):
+        self.codes, self.lengths = codes.astype(np.int64), lengths
+        self.trained = np.repeat(trained, lengths)
         self.rare_at = np.flatnonzero(self.codes == RARE)
+        self.rare = rare.astype(np.int64)
 
     def pairs(
         self, kinds: np.ndarray, of_rare: np.ndarray | None = None
@@ -144,11 +149,46 @@ class Block:
         return np.concatenate([kinds[[END]], now[:-1]]), now  # texts end with END
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], dtype: str) -> Iterator[tuple[dict, Block]]:
+def _blocks(
+    batches: Iterator[pa.RecordBatch], dtype: str, part_tokens: int = 500_000
+) -> Iterator[tuple[pa.RecordBatch, int, Block]]:
+    """Row of a block, number of its first text, and tokens of some of its texts after another."""
     for batch in batches:
         for i in range(batch.num_rows):
-            (row,) = batch.slice(i, 1).to_pylist()  # one block at a time
-            yield row, Block(row, dtype)
+            row = batch.slice(i, 1)
+            codes = np.frombuffer(row.column("codes")[0].as_buffer(), dtype)
+            rare = np.frombuffer(row.column("rare")[0].as_buffer(), "<u4")
+            lengths = row.column("lengths")[0].values.to_numpy().astype(np.int64)
+            trained = row.column("trained")[0].values.to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths)
+            first = at = rare_at = 0
+            while first < len(lengths):
+                last = max(first + 1, int(np.searchsorted(ends, at + part_tokens, "right")))
+                own = codes[at : ends[last - 1]]
+                rare_end = rare_at + int(np.count_nonzero(own == RARE))
+                texts = slice(first, last)
+                yield row, first, Block(own, rare[rare_at:rare_end], lengths[texts], trained[texts])
+                first, at, rare_at = last, int(ends[last - 1]), rare_end
+
+
+class Found:
+    """Class and count of the rare words of a block, by their places in its list."""
+
+    def __init__(self):
+        self._block, self._known = None, (np.empty(0, np.int64),) * 2
+
+    def of(self, row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        block = row.column("block")[0].as_py()
+        if block != self._block:
+            size = row.column("n_rare")[0].as_py()
+            classes, counts = np.full(size, RARE, np.int64), np.zeros(size, np.int64)
+            known = row.column("found")[0].values
+            if known is not None:
+                place = known.field("place").to_numpy()
+                classes[place] = known.field("class").to_numpy()
+                counts[place] = known.field("n").to_numpy()
+            self._block, self._known = block, (classes, counts)
+        return self._known
 
 
 def _counted(cells: DataFrame, size: int) -> np.ndarray:
@@ -172,28 +212,19 @@ def bigram_counts(blocks: DataFrame, dtype: str, kinds: np.ndarray) -> np.ndarra
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
-        for row, block in _blocks(batches, dtype):
-            before, now = block.pairs(kinds, classes_of(row)[0] if joined else None)
+        found = Found()
+        for row, _, block in _blocks(batches, dtype):
+            before, now = block.pairs(kinds, found.of(row)[0] if joined else None)
             pairs = (before * size + now)[block.trained]
             total += np.bincount(pairs, minlength=size * size)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-    columns = [*TOKENS, "found"] if joined else TOKENS
+    columns = [*TOKENS, "block", "n_rare", "found"] if joined else TOKENS
     cells = blocks.select(columns).mapInArrow(count, "cell bigint, n bigint")
     return _counted(cells, size * size).reshape(size, size)
 
 
-def classes_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Class and count of a block's rare words, by their places in its list."""
-    found = row["found"] or []
-    classes, counts = np.full(len(found), RARE), np.zeros(len(found), np.int64)
-    for word in found:
-        if word["class"] is not None:
-            classes[word["place"]], counts[word["place"]] = word["class"], word["n"]
-    return classes, counts
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -280,7 +311,7 @@ def exchange_round(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beside = np.zeros((2, codes * total), np.int64)
-        for _, block in _blocks(batches, dtype):
+        for _, _, block in _blocks(batches, dtype):
             before, code = (x[block.trained] for x in block.pairs(np.arange(codes)))
             beside[0] += np.bincount(before * total + of[code], minlength=codes * total)
             beside[1] += np.bincount(code * total + of[before], minlength=codes * total)
@@ -365,15 +396,20 @@ def assigned_words(blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndar
     total, usable = len(table), usable_classes(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, block in _blocks(batches, dtype):
+        for row, _, block in _blocks(batches, dtype, BLOCK_TOKENS):
             before, now = block.pairs(of)
             inside = block.trained[block.rare_at]
             at, word = block.rare_at[inside], block.rare[inside]
             cells = np.concatenate([now[at + 1], total + before[at]])  # a text does not end with it
             keys, n = np.unique(np.tile(word, 2) * (2 * total) + cells, return_counts=True)
-            words = pa.array(row["words"], pa.string()).take(pa.array(keys // (2 * total)))
-            found = [words, pa.array((keys % (2 * total)).astype(np.int32)), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(found, ["word", "cell", "n"])
+            words, starts = np.unique(keys // (2 * total), return_index=True)
+            offsets = pa.array(np.append(starts, len(keys)).astype(np.int32))
+            beside = [
+                pa.ListArray.from_arrays(offsets, pa.array((keys % (2 * total)).astype(np.int16))),
+                pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32))),
+            ]
+            words = row.column("words")[0].values.take(pa.array(words))
+            yield pa.RecordBatch.from_arrays([words, *beside], ["word", "cell", "n"])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,26 +428,32 @@ def assigned_words(blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndar
                 found = [part.column(0), pa.array(own), pa.array(best.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(found, ["word", "n", "class"])
 
+    # One exchange, by word: none has more than one in so many tokens, so none is hot.
+    counted = blocks.select("words", *TOKENS).mapInArrow(
+        count, "word string, cell array<smallint>, n array<int>"
+    )
     beside = (
-        blocks.select("words", *TOKENS)
-        .mapInArrow(count, "word string, cell int, n bigint")
+        counted.repartition("word")
+        .select("word", F.inline(F.arrays_zip("cell", "n")))
         .groupBy("word", "cell")
         .agg(F.sum("n").alias("n"))
         .groupBy("word")
-        .agg(F.collect_list(F.struct("cell", "n")).alias("beside"))
+        .agg(F.collect_list(F.struct(F.col("cell").cast("int").alias("cell"), "n")).alias("beside"))
     )
     return beside.mapInArrow(assign, "word string, n bigint, class int")
 
 
 def with_classes(blocks: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Blocks with ``found``: place, class and count of their rare words, null for unseen ones.
+    """Blocks with ``found``: place, class and count of those of their ``n_rare`` rare words that
+    training has seen.
 
     A word is one row for each block that has it, so none is a key of many rows.
     """
     one = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    looked_up = one.join(assigned, "word", "left")
+    looked_up = one.join(assigned, "word")
     found = F.collect_list(F.struct("place", "class", "n")).alias("found")
-    return blocks.drop("words").join(looked_up.groupBy("block").agg(found), "block", "left")
+    counted = blocks.withColumn("n_rare", F.size("words")).drop("words")
+    return counted.join(looked_up.groupBy("block").agg(found), "block", "left")
 
 
 @dataclass
@@ -479,8 +521,9 @@ def scored_texts(blocks: DataFrame, dtype: str, model: ClassModel) -> DataFrame:
     names = [field.split(" ")[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, block in _blocks(batches, dtype):
-            classes, counts = classes_of(row)
+        known_of = Found()
+        for row, first, block in _blocks(batches, dtype):
+            classes, counts = known_of.of(row)
             before, now = block.pairs(model.of, classes)
             of_word, base = model.emissions[block.codes], model.base[block.codes]
             known = model.counts[block.codes] > 0
@@ -491,7 +534,8 @@ def scored_texts(blocks: DataFrame, dtype: str, model: ClassModel) -> DataFrame:
             starts = np.cumsum(block.lengths) - block.lengths
             sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, steps)]
             size = len(starts)
-            found = [pa.array([row["block"]] * size), pa.array(range(size), pa.int32())]
+            found = [pa.array(np.repeat(row.column("block").to_numpy(), size))]
+            found.append(pa.array(np.arange(first, first + size, dtype=np.int32)))
             found += [pa.array(block.lengths), *(pa.array(x) for x in sums)]
             yield pa.RecordBatch.from_arrays(found, names)
 
