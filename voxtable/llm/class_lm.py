@@ -75,7 +75,7 @@ PAYLOAD = (
 )
 # A block ends with the text that reaches this number of tokens, or with a batch of rows. The larger
 # it is, the fewer times a word is joined; a worker holds some 30 bytes a token of one block.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_000_000
 
 
 def encode_blocks(rows: DataFrame, frequent: Broadcast, dtype: str) -> DataFrame:
