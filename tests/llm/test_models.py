@@ -6,11 +6,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import helpers
 from voxtable.llm import class_lm, quality_model, queries
+from voxtable.sources import tables
 
 LARGE = "/root/testdata/sf0.1"
 
@@ -339,3 +341,49 @@ def test_parts_of_a_block_are_its_texts():
         assert len(parts) > 1 and [f for _, f, _ in parts] == np.cumsum([0, *(len(b.lengths) for _, _, b in parts)])[:-1].tolist()
         joined = np.concatenate([np.stack([*b.pairs(kinds, of_rare), b.trained]) for _, _, b in parts], axis=1)
         assert np.array_equal(joined, expected)
+
+
+def test_neighbours_of_rare_words_by_parts():
+    """The parts of a block count as many neighbours of each rare training word as the whole."""
+    draw, total = np.random.default_rng(5), 4
+    lengths = draw.integers(1, 9, 60)
+    codes = np.concatenate([[*draw.integers(1, 5, n - 1), class_lm.END] for n in lengths]).astype("<u2")
+    rare = draw.integers(0, 7, np.count_nonzero(codes == class_lm.RARE)).astype("<u4")
+    trained = lengths > 3
+    batch = pa.RecordBatch.from_pylist(
+        [{"codes": codes.tobytes(), "rare": rare.tobytes(), "lengths": lengths.tolist(), "trained": trained.tolist()}]
+    )
+    kinds, words, expected = np.array([0, 1, 2, 3, 2]), iter(rare.tolist()), Counter()
+    padded, inside = [class_lm.END, *codes.tolist()], np.repeat(trained, lengths)
+    for at, code in enumerate(codes):
+        if code == class_lm.RARE:
+            word = next(words)
+            if inside[at]:
+                expected[word * 2 * total + kinds[codes[at + 1]]] += 1
+                expected[word * 2 * total + total + kinds[padded[at]]] += 1
+    for size in (5, 17, 1000):
+        found = [class_lm.beside_rare(b, kinds, total) for _, _, b in class_lm._blocks([batch], "<u2", size)]
+        assert Counter(np.concatenate(found).tolist()) == expected
+
+
+def test_blocks_are_stored_without_buffers_of_their_size(spark, monkeypatch):
+    """Snappy would take memory of the size of a block's largest value outside the heap."""
+    folders, work_folder = [], tables.work_folder
+
+    def folder(session):
+        folders.append(work_folder(session))
+        return folders[-1]
+
+    monkeypatch.setattr(tables, "work_folder", folder)
+    texts = [(i, f"the cat {i % 7} of a house x{i}") for i in range(50)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert class_lm.score_texts(df, F.lit(True), carry=["doc_id"], classes=4).count() == 50
+    codecs = Counter()
+    for path in folders:
+        for part in pq.ParquetDataset(path.removeprefix("file://").removeprefix("file:")).fragments:
+            for group in range(part.metadata.num_row_groups):
+                columns = part.metadata.row_group(group)
+                for i in range(columns.num_columns):
+                    if columns.column(i).path_in_schema in ("codes", "rare"):
+                        codecs[columns.column(i).compression] += 1
+    assert set(codecs) == {"ZSTD"}

@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -76,6 +77,11 @@ PAYLOAD = (
 # A block ends with the text that reaches this number of tokens, or with a batch of rows. The larger
 # it is, the fewer times a word is joined; a worker holds some 30 bytes a token of one block.
 BLOCK_TOKENS = 2_000_000
+# What a worker works on at a time, beside what it keeps of a block. Arrays of these sizes stay with it
+# after they are freed.
+PART_TOKENS, ASSIGNED = 250_000, 500
+# Snappy takes buffers of the size of a value outside the heap, of which each task leaves some behind.
+STORED = {"compression": "zstd"}
 
 
 def encode_blocks(rows: DataFrame, frequent: Broadcast, dtype: str) -> DataFrame:
@@ -150,7 +156,7 @@ class Block:
 
 
 def _blocks(
-    batches: Iterator[pa.RecordBatch], dtype: str, part_tokens: int = 500_000
+    batches: Iterator[pa.RecordBatch], dtype: str, part_tokens: int = PART_TOKENS
 ) -> Iterator[tuple[pa.RecordBatch, int, Block]]:
     """Row of a block, number of its first text, and tokens of some of its texts after another."""
     for batch in batches:
@@ -387,6 +393,16 @@ def joining_gains(
     return gain
 
 
+def beside_rare(block: Block, kinds: np.ndarray, total: int) -> np.ndarray:
+    """``2 * total`` times the word, and the class after it or ``total`` and the class before it, of
+    the rare words of training texts, one number for each neighbour."""
+    inside = block.trained[block.rare_at]
+    at, word = block.rare_at[inside], block.rare[inside] * (2 * total)
+    ends = np.concatenate([[END], block.codes])  # one stands before a text
+    # A text does not end with a rare word.
+    return np.concatenate([word + kinds[block.codes[at + 1]], word + (total + kinds[ends[at]])])
+
+
 def assigned_words(blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndarray) -> DataFrame:
     """``(word, n, class)`` of all rare words of the training text.
 
@@ -396,12 +412,13 @@ def assigned_words(blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndar
     total, usable = len(table), usable_classes(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, _, block in _blocks(batches, dtype, BLOCK_TOKENS):
-            before, now = block.pairs(of)
-            inside = block.trained[block.rare_at]
-            at, word = block.rare_at[inside], block.rare[inside]
-            cells = np.concatenate([now[at + 1], total + before[at]])  # a text does not end with it
-            keys, n = np.unique(np.tile(word, 2) * (2 * total) + cells, return_counts=True)
+        kinds = of.astype(np.int32)
+        for _, parts in groupby(_blocks(batches, dtype), key=lambda part: id(part[0])):
+            found = []
+            for row, _, block in parts:
+                found.append(beside_rare(block, kinds, total))
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            del found
             words, starts = np.unique(keys // (2 * total), return_index=True)
             offsets = pa.array(np.append(starts, len(keys)).astype(np.int32))
             beside = [
@@ -413,8 +430,8 @@ def assigned_words(blocks: DataFrame, dtype: str, of: np.ndarray, table: np.ndar
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, ASSIGNED):
+                part = batch.slice(at, ASSIGNED)
                 beside, counts = part.column(1), part.column(1).value_lengths().to_numpy()
                 flat = beside.flatten()
                 cell = flat.field("cell").to_numpy().astype(np.int64)
@@ -584,7 +601,7 @@ def score_texts(
 
     shared = df.sparkSession.sparkContext.broadcast(known["word"].tolist())
     rows = nested(df, columns, is_training=training, text=text_of(text_col))
-    encoded = materialize(encode_blocks(rows, shared, dtype))
+    encoded = materialize(encode_blocks(rows, shared, dtype), **STORED)
     blocks = encoded.where("codes IS NOT NULL").drop("row", "is_training", "at")
     codes = np.arange(len(of_code))
     seeds = FIXED + int((known["n"] * seed_share > tokens).sum())
@@ -599,8 +616,8 @@ def score_texts(
             break  # words that moved at the same time got in each other's way
         of, table = moved, after
 
-    assigned = materialize(assigned_words(blocks, dtype, of, table))
-    joined = materialize(with_classes(blocks, assigned))
+    assigned = materialize(assigned_words(blocks, dtype, of, table), **STORED)
+    joined = materialize(with_classes(blocks, assigned), **STORED)
     table = class_counts(joined, dtype, of, classes + FIXED)
     added = assigned.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     rare = np.zeros((2, classes + FIXED))

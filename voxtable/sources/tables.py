@@ -149,19 +149,19 @@ def remove_table(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
 
 
-def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False, **options: str) -> DataFrame:
     """Write a table to the work folder and read it back.
 
     Cuts the lineage for good, survives lost executors, and keeps column pruning and size
     statistics for whatever is built on top. Inside ``work_tables`` the table lives until the end
     of that block, unless it is to be kept; elsewhere nothing is deleted, and the work folder is
-    tidied up like any checkpoint folder.
+    tidied up like any checkpoint folder. ``options`` go to the Parquet writer.
     """
     path = work_folder(df.sparkSession)
     scope = _SCOPE.get()
     if scope is not None and not keep:
         scope.append(path)  # before it is written: a failed write leaves files as well
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
