@@ -202,3 +202,29 @@ def test_every_way_gives_the_same(spark, plain, options):
 def test_a_piece_across_words_keeps_texts_whole(spark, plain, monkeypatch):
     monkeypatch.setattr(token_alignment, "SPACE", "e")  # pieces then seem to go on after a space
     assert not Aligner(open(PATHS[0], encoding="utf-8").read(), open(PATHS[1], "rb").read()).tokenizers.starts_at_spaces
+
+
+def test_units_in_use_stay_known(own, monkeypatch):
+    """Units that come again are learned once, however many others come between; rows stay the same."""
+    calls = [
+        [f"this is the common part w{n}x{i} of text" for i in range(20)] + ["\x00 the " + "a" * n]
+        for n in range(30)
+    ]
+    expected = [own.texts(texts, True) for texts in calls]
+    monkeypatch.setattr(token_alignment, "UNITS", 60)
+    monkeypatch.setattr(token_alignment, "KEPT", 20)
+    small = Aligner(open(PATHS[0], encoding="utf-8").read(), open(PATHS[1], "rb").read())
+    learned, learn = Counter(), small._learn
+
+    def counted(new):
+        learned.update(new)
+        learn(new)
+
+    small._learn = counted
+    for texts, rows in zip(calls, expected):
+        found = small.texts(texts, True)
+        assert len(small._units.number) <= 60 + 50
+        for row, other in zip(found, rows):
+            assert row[:6] == other[:6]
+            assert np.array_equal(row[6], other[6]) and np.array_equal(row[7], other[7])
+    assert len(learned) > 300 and learned["common"] == learned["part"] == 1

@@ -40,7 +40,8 @@ from voxtable.sources.tables import materialize
 SPACE = "▁"  # stands for a space in the pieces
 # Where both tokenizers start afresh whatever lies before: at a single space before a letter or digit.
 CUT = re.compile(r"(?<=\S) (?=[^\W_])")
-UNITS = 260_000  # units remembered; then all are forgotten and the frequent ones soon known again
+# Units remembered; then all are forgotten but for some that came again, the most frequent ones.
+UNITS, KEPT = 260_000, 65_000
 LEARNED = 4096  # new units given to the tokenizers at a time
 TOGETHER = 500_000  # characters aligned at a time
 FAN_IN = 8  # fragments composed by one group of a round
@@ -232,6 +233,12 @@ class Ragged:
         places = np.repeat(starts - (np.cumsum(counts) - counts), counts)
         return self._values[places + np.arange(len(places))].astype(np.int64), counts
 
+    def only(self, rows: np.ndarray) -> Ragged:
+        """These rows alone."""
+        kept = Ragged(self._values.dtype)
+        kept.extend(*self.take(rows))
+        return kept
+
 
 class Units:
     """Alignments of the units that texts consist of, between places to cut at.
@@ -240,11 +247,31 @@ class Units:
     come again and again, and each is aligned once.
     """
 
-    def __init__(self):
+    def __init__(self, top: int):
         self.number: dict[str, int] = {}
         self.groups: list[str | None] = []  # None for a unit that has no tokens
-        self.a, self.b, self.codes, self.times = Ragged(), Ragged(), Ragged(np.int64), Ragged()
+        codes = Ragged(np.uint32 if top <= 1 << 32 else np.int64)  # of pairs, below ``top``
+        self.a, self.b, self.codes, self.times = Ragged(), Ragged(), codes, Ragged()
         self.counts = Ragged()  # tokens of both, groups, links
+        self._uses = np.zeros(0, np.int32)  # in how many calls
+
+    def used(self, numbers: np.ndarray) -> None:
+        if len(self._uses) < len(self.number):
+            more = max(len(self.number) - len(self._uses), len(self._uses) // 2)
+            self._uses = np.concatenate([self._uses, np.zeros(more, np.int32)])
+        self._uses[numbers] += 1  # once, however often a number is there
+
+    def forget(self, most: int) -> None:
+        """Keep what was used more than once, and of that the ``most`` most used units."""
+        uses = self._uses[: len(self.number)]
+        kept = np.argsort(-uses, kind="stable")[:most]
+        kept = np.sort(kept[uses[kept] > 1])
+        names = list(self.number)  # in the order of their numbers
+        self.number = {names[i]: n for n, i in enumerate(kept.tolist())}
+        self.groups = [self.groups[i] for i in kept.tolist()]
+        for name in ("a", "b", "codes", "times", "counts"):
+            setattr(self, name, getattr(self, name).only(kept))
+        self._uses = np.zeros(len(kept), np.int32)  # what is used no more goes next time
 
 
 class Aligner:
@@ -254,7 +281,7 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizers = Tokenizers(byte_level, pieces)
         self.writer = Writer(self.tokenizers.a_size, self.tokenizers.b_size)
-        self._units = Units()
+        self._units = Units(self.tokenizers.a_size * self.tokenizers.b_size)
 
     def code(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """One number for a pair of ids."""
@@ -269,12 +296,14 @@ class Aligner:
     def _numbers(self, parts: list[str]) -> np.ndarray:
         """Numbers of units; new ones are aligned together."""
         if len(self._units.number) > UNITS:
-            self._units = Units()
+            self._units.forget(KEPT)
         known = self._units.number
         new = [u for u in dict.fromkeys(parts) if u not in known]
         if new:
             self._learn(new)
-        return np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        numbers = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+        self._units.used(numbers)
+        return numbers
 
     def _learn(self, new: list[str]) -> None:
         units = self._units
