@@ -146,6 +146,20 @@ def test_sequences_of_all_documents(spark, library):
     assert padding < 0.01 * tokens and 2048 in windows
 
 
+def test_remembered_words_change_no_piece(spark, monkeypatch):
+    """Words known to a worker only save time, and the query alone may remember more of them."""
+    docs = helpers.odd_documents(spark).coalesce(1)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    few, many = (
+        packing.pack_documents(docs, PATH, remembered=n).select(columns).collect() for n in (500, 1 << 20)
+    )
+    assert few == many and len(few) >= len(helpers.TEXTS)
+    given, pack = {}, packing.pack_documents
+    monkeypatch.setattr(packing, "pack_documents", lambda *args, **more: given.update(more) or pack(*args))
+    queries.queries()["op10_packing"](spark, helpers.SF_DIR)
+    assert given["remembered"] > bpe.REMEMBERED
+
+
 def test_short_documents_fill_long_windows():
     packer = packing.Packer((256, 512, 1024, 2048), 0, 16_384)
     for i, n in enumerate([1500, 300, 200, 100, 2048 * 2 + 5]):

@@ -274,9 +274,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(text: str) -> Encoder:
+def encoder(text: str, remembered: int = REMEMBERED) -> Encoder:
     """One encoder for each Python worker."""
-    return Encoder(text)
+    return Encoder(text, remembered)
 
 
 def read_vocabulary(path: str) -> str:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from voxtable.llm.bpe import encoder, read_vocabulary
+from voxtable.llm.bpe import REMEMBERED, encoder, read_vocabulary
 from voxtable.llm.frames import column, text_of
 from voxtable.ship import ship_package
 
@@ -117,6 +117,7 @@ def pack_documents(
     tiers: tuple[int, ...] = (256, 512, 1024, 2048),
     group_tokens: int = 16_384,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row for each piece of a document in a sequence, and each token in exactly one piece.
 
@@ -125,7 +126,8 @@ def pack_documents(
     and ``offset`` in a sequence; offsets are gapless from 0. All sequences have the length of a
     tier (``window``), but for the last ones of a task, which hold what it has left. Sequences of
     one ``step_group`` have ``group_tokens`` tokens in all, or as many as whole sequences allow.
-    ``ids`` holds the ids of a piece on request.
+    ``ids`` holds the ids of a piece on request. A Python worker keeps up to twice ``remembered`` bytes
+    of words whose ids it knows, which has no part in the result.
 
     Rows are packed as they come, repeated ids and null ids included (``doc_id`` is null then);
     other columns of the input are left out, whatever their names. An empty table gives an empty
@@ -139,7 +141,7 @@ def pack_documents(
     names = [field.split(" ")[0] for field in PIECES.split(", ")]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own = encoder(vocabulary, remembered)
         packer = Packer(tiers, TaskContext.get().partitionId() << 40, group_tokens)
         rows: list[tuple] = []
         for batch in batches:
